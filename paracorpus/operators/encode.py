@@ -90,8 +90,11 @@ def encode_sides(
     allrows = word_ids.select("__key", "side", "pos", F.col("id").cast("long")).unionByName(tag_rows)
     g = allrows.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("side", "pos", "id"))).alias("__t"))
     cols = [F.col("__key").alias(key)]
+    def of_side(name: str):
+        return lambda x: x["side"] == F.lit(name)
+
     for n in names:
-        ids = F.transform(F.filter("__t", lambda x, n=n: x["side"] == F.lit(n)), lambda x: x["id"].cast("int"))
+        ids = F.transform(F.filter("__t", of_side(n)), lambda x: x["id"].cast("int"))
         cols.append(F.concat(ids, F.array(F.lit(EOS_ID))).alias(f"{n}_ids"))
     return g.select(*cols)
 

@@ -42,10 +42,10 @@ def _ngrams(c: Column, n: int, kind: str) -> Column:
 
 
 def _side_grams(c: Column, side: str, n_max: int, kind: str) -> Column:
-    parts = [
-        F.transform(_ngrams(c, n, kind), lambda g, n=n: F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("g")))
-        for n in range(1, n_max + 1)
-    ]
+    def tag(n: int):
+        return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("g"))
+
+    parts = [F.transform(_ngrams(c, n, kind), tag(n)) for n in range(1, n_max + 1)]
     return F.concat(*parts)
 
 

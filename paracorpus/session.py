@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "paracorpus", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PARACORPUS_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions is not None:
