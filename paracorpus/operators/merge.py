@@ -16,14 +16,15 @@ def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True) -> Da
     return out
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_id") -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str] = "row_id") -> DataFrame:
     """``drop_duplicates(subset=keys, keep='first')``; null equals null.
 
     ``row_number() = 1`` over the keys lets Catalyst insert a partial
     ``WindowGroupLimit`` before the shuffle, so a hot key sends at most one row
     per map task across the network instead of all of its copies.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
