@@ -32,8 +32,17 @@ TABLES = [
 ]
 
 
+# Row key of each table: used to spread an under-split scan (see read_table).
+TABLE_KEYS = {
+    "documents": "doc_id", "benchmark": "item_id", "conversations": "conv_id", "embeddings": "vec_id",
+    "events": "event_id", "labels": "doc_id", "pages": "page_id", "lineitem": "l_orderkey", "orders": "o_orderkey",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from paracorpus.sources.dataset import read_table
+
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
 
 
 def to_arabic(c):
@@ -46,7 +55,8 @@ def word_tokens(c):
 
 
 def word_count(c):
-    return F.size(word_tokens(c))
+    """Number of whitespace tokens, counted without building the token array."""
+    return F.regexp_count(c, F.lit(f"{NOT_WS}+"))
 
 
 # ---------------------------------------------------------------- Spark side

@@ -51,25 +51,40 @@ CODE_PATTERNS = [
 ]
 
 
-def portable_regex(pattern: str) -> str:
-    """Rewrite Python-only regex shorthands into classes Java and RE2 share.
+# Python's re.IGNORECASE also matches these non-ASCII letters to ASCII pattern
+# letters (simple case folding); they are folded before lower-casing.
+CASE_FOLD_FROM, CASE_FOLD_TO = "\u0130\u0131\u017f\u212a", "iisk"
 
-    ``\\b`` becomes an explicit non-word-or-edge group, ``\\w``/``\\s`` the
-    Unicode classes above, and needless escapes of ``< > / = ;`` (which RE2
-    rejects) plain characters.  Matching is search-only, so consuming the
-    boundary character does not change the answer.
+
+def _regex_for(pattern: str, engine: str) -> str:
+    """Python-only shorthands rewritten into classes Java and RE2 share.
+
+    Matching runs on lower-cased text, so the pattern is lower-cased first
+    (its escapes hold no letters that change meaning).  ``\\b`` becomes a
+    lookaround pair in Java and a consuming edge group in RE2 (which has no
+    lookaround); for search-only matching the two answer the same.  ``\\w``
+    and ``\\s`` become the Unicode classes above; needless escapes of
+    ``< > / = ;`` (which RE2 rejects) become plain characters.
     """
-    out = re.sub(r"\\b(\w+)\\b", lambda m: rf"(?:\A|{NON_WORD_CLASS}){m.group(1)}(?:{NON_WORD_CLASS}|\z)", pattern)
+    pattern = pattern.lower()
+    if engine == "java":
+        edge = lambda m: rf"(?<!{WORD_CLASS}){m.group(1)}(?!{WORD_CLASS})"
+    else:
+        edge = lambda m: rf"(?:\A|{NON_WORD_CLASS}){m.group(1)}(?:{NON_WORD_CLASS}|\z)"
+    out = re.sub(r"\\b(\w+)\\b", edge, pattern)
     out = out.replace(r"\w", WORD_CLASS).replace(r"\s", WS_CLASS)
     for ch in "<>/=;":
         out = out.replace("\\" + ch, ch)
     return out
 
 
-CODE_REGEX_BODY = "|".join(portable_regex(p) for p in CODE_PATTERNS)
-# Java: i = case-insensitive, u = Unicode case folding, d = only \n ends a line for "."
-CODE_REGEX_SPARK = "(?iud)" + CODE_REGEX_BODY
-CODE_REGEX_RE2 = "(?i)" + CODE_REGEX_BODY
+# Java: d = only \n ends a line for "."; one search over the folded text.
+CODE_REGEX_SPARK = "(?d)" + "|".join(_regex_for(p, "java") for p in CODE_PATTERNS)
+CODE_REGEX_RE2 = "|".join(_regex_for(p, "re2") for p in CODE_PATTERNS)
+
+
+def case_folded(c: Column) -> Column:
+    return F.lower(F.translate(c, CASE_FOLD_FROM, CASE_FOLD_TO))
 
 
 def ustrip(c: Column) -> Column:
@@ -119,8 +134,10 @@ def stringify(c: Column) -> Column:
 
 
 def contains_code(c: Column) -> Column:
-    """code detector (search semantics); null input gives null."""
-    return c.rlike(CODE_REGEX_SPARK)
+    """code detector: any of the patterns found, case-insensitively
+    (text case-folded once, then one case-sensitive search, which Java runs
+    far faster than Unicode case-insensitive matching); null gives null."""
+    return case_folded(c).rlike(CODE_REGEX_SPARK)
 
 
 def split_ws(c: Column) -> Column:

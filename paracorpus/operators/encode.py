@@ -15,6 +15,7 @@ from paracorpus.fixtures import word_count, word_tokens
 from paracorpus.functions.rand import hash52
 from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.operators.rowid import with_row_pos
+from paracorpus.session import cut_lineage
 
 # Special ids of our vocabulary.
 PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
@@ -35,7 +36,7 @@ def token_count(c: Column, n_special: int = N_SPECIAL) -> Column:
     return word_count(c) + F.lit(n_special)
 
 
-def build_vocab(texts: DataFrame, text_col: str) -> DataFrame:
+def build_vocab(texts: DataFrame, text_col: str, checkpoint: bool = True) -> DataFrame:
     """Vocabulary (token, id, freq): ids by frequency desc, then a token hash.
 
     Ranking uses the distributed dense position: the bucket key folds the
@@ -47,7 +48,10 @@ def build_vocab(texts: DataFrame, text_col: str) -> DataFrame:
     h = hash52(F.col("token"))
     keyed = freq.withColumn("__h", h).withColumn("__k", -F.col("freq").cast("double") + F.col("__h") / F.lit(2.0**53))
     ranked = with_row_pos(keyed, ["__k", "__h", "token"], "__pos")
-    return ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq")
+    vocab = ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq")
+    # the vocabulary is looked up several times (encode, decode, size checks):
+    # materialise it once in the shared checkpoint folder
+    return cut_lineage(vocab) if checkpoint else vocab
 
 
 def _maybe_broadcast(vocab: DataFrame) -> DataFrame:

@@ -29,23 +29,27 @@ CHRF_ORDER = 6
 CHRF_BETA = 2.0
 
 
-def _ngrams(c: Column, n: int, kind: str) -> Column:
+def _units(c: Column, kind: str) -> Column:
+    """What n-grams are cut from: the word array, or the whitespace-free string."""
+    return split_ws(c) if kind == "word" else F.regexp_replace(c, WS_CLASS, "")
+
+
+def _ngrams(u: Column, n: int, kind: str) -> Column:
+    """n-grams of an already materialised unit column ``u`` (an attribute, so
+    the lambda below never re-evaluates the tokenizer per element)."""
+    size = F.size(u) if kind == "word" else F.length(u)
     if kind == "word":
-        toks = split_ws(c)
-        size = F.size(toks)
-        grams = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.array_join(F.slice(toks, i, n), " "))
+        grams = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.array_join(F.slice(u, i, n), " "))
     else:
-        s = F.regexp_replace(c, WS_CLASS, "")
-        size = F.length(s)
-        grams = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(s, i, n))
+        grams = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(u, i, n))
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def _side_grams(c: Column, side: str, n_max: int, kind: str) -> Column:
+def _side_grams(u: Column, side: str, n_max: int, kind: str) -> Column:
     def tag(n: int):
         return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("g"))
 
-    parts = [F.transform(_ngrams(c, n, kind), tag(n)) for n in range(1, n_max + 1)]
+    parts = [F.transform(_ngrams(u, n, kind), tag(n)) for n in range(1, n_max + 1)]
     return F.concat(*parts)
 
 
@@ -57,9 +61,10 @@ def ngram_stats(
     base = df.select(*keys, F.col(hyp).alias("__h"), F.col(ref).alias("__r"))
     if prepartition:
         base = base.repartition(*keys)
-    grams = base.select(
+    units = base.select(*keys, _units(F.col("__h"), kind).alias("__hu"), _units(F.col("__r"), kind).alias("__ru"))
+    grams = units.select(
         *keys,
-        F.explode_outer(F.concat(_side_grams(F.col("__h"), "h", n_max, kind), _side_grams(F.col("__r"), "r", n_max, kind))).alias("x"),
+        F.explode_outer(F.concat(_side_grams(F.col("__hu"), "h", n_max, kind), _side_grams(F.col("__ru"), "r", n_max, kind))).alias("x"),
     ).select(*keys, F.col("x.n").alias("n"), F.col("x.side").alias("side"), F.col("x.g").alias("g"))
     per_gram = grams.groupBy(*keys, "n", "g").agg(
         F.count_if(F.col("side") == "h").alias("hc"), F.count_if(F.col("side") == "r").alias("rc")
@@ -129,11 +134,7 @@ def _code_char(i: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(cp), 4, "0")), "UTF-16BE")
 
 
-def word_edit_rate_col(hyp: Column, ref: Column) -> Column:
-    """M3 as a row expression: 100 x word Levenshtein / ref words (TER without shifts)."""
-    h = split_ws(F.lower(hyp))
-    r = split_ws(F.lower(ref))
-    vocab = F.array_distinct(F.concat(h, r))
+def _edit_rate(h: Column, r: Column, vocab: Column) -> Column:
     enc = lambda toks: F.array_join(F.transform(toks, lambda t: _code_char(F.array_position(vocab, t) - 1)), "")
     edits = F.levenshtein(enc(h), enc(r)).cast("double")
     ref_len = F.size(r).cast("double")
@@ -141,7 +142,15 @@ def word_edit_rate_col(hyp: Column, ref: Column) -> Column:
 
 
 def word_edit_rate(df: DataFrame, keys: Sequence[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:
-    return df.select(*keys, word_edit_rate_col(F.col(hyp), F.col(ref)).alias("ter"))
+    """M3: 100 x word Levenshtein / ref words (TER without shifts), per row.
+
+    Token arrays and the pair's token list are materialised as columns first,
+    so the per-token lambda only reads attributes.
+    """
+    keys = list(keys)
+    x = df.select(*keys, split_ws(F.lower(F.col(hyp))).alias("__h"), split_ws(F.lower(F.col(ref))).alias("__r"))
+    x = x.withColumn("__v", F.array_distinct(F.concat("__h", "__r")))
+    return x.select(*keys, _edit_rate(F.col("__h"), F.col("__r"), F.col("__v")).alias("ter"))
 
 
 def tokenize_13a(c: Column) -> Column:
@@ -173,7 +182,7 @@ def score_sentences(df: DataFrame, keys: Sequence[str], hyp: str = "hyp", ref: s
     base = df.select(*keys, F.col(hyp).alias("hyp"), F.col(ref).alias("ref")).repartition(*keys)
     b = ngram_stats(base, keys, "hyp", "ref", BLEU_ORDER, "word", prepartition=False).select(*keys, bleu_from_stats().alias("bleu"))
     c = ngram_stats(base, keys, "hyp", "ref", CHRF_ORDER, "char", prepartition=False).select(*keys, chrf_from_stats().alias("chrf"))
-    t = base.select(*keys, word_edit_rate_col(F.col("hyp"), F.col("ref")).alias("ter"))
+    t = word_edit_rate(base, keys)
     return b.join(c, keys).join(t, keys)
 
 

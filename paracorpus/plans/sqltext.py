@@ -9,6 +9,8 @@ from __future__ import annotations
 from paracorpus.fixtures import NOT_WS
 from paracorpus.functions.text import (
     ASCII_PUNCTUATION,
+    CASE_FOLD_FROM,
+    CASE_FOLD_TO,
     CODE_REGEX_RE2,
     SPECIAL_MARKERS,
     STRIP_PATTERN,
@@ -38,7 +40,7 @@ def token_count(e: str, n_special: int = 2) -> str:
 
 
 def contains_code(e: str) -> str:
-    return f"regexp_matches({e}, '{CODE_REGEX_RE2}')"
+    return f"regexp_matches(lower(translate({e}, '{CASE_FOLD_FROM}', '{CASE_FOLD_TO}')), '{CODE_REGEX_RE2}')"
 
 
 def strip_punct(e: str) -> str:

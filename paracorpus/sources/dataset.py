@@ -18,6 +18,23 @@ from pyspark.sql.types import StructType
 from paracorpus.operators.merge import split_dict
 
 
+def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """Parquet scan that never leaves the cluster idle on an under-split input.
+
+    Large inputs arrive as many files / row groups and the scan alone gives at
+    least as many partitions as there are task slots; then nothing is added.
+    A small input stored as one row group yields a single split, and all the
+    per-row text work above it would run in one task; only then the rows are
+    hash-distributed by the table key (so later key-grouped steps can reuse
+    the partitioning) over ``spark.sql.shuffle.partitions`` partitions.
+    """
+    df = spark.read.parquet(path)
+    target = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() >= min(target, spark.sparkContext.defaultParallelism):
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def write_dataset(
     data: DataFrame | Mapping[str, DataFrame],
     path: str,
