@@ -16,23 +16,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paracorpus.operators.merge import split_dict
+from paracorpus.session import cut_lineage
+
+
+_SPREAD: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """Parquet scan that never leaves the cluster idle on an under-split input.
 
     Large inputs arrive as many files / row groups and the scan alone gives at
-    least as many partitions as there are task slots; then nothing is added.
+    least as many partitions as there are task slots; then the plain scan is
+    returned and filters / column pruning reach the Parquet reader.
+
     A small input stored as one row group yields a single split, and all the
-    per-row text work above it would run in one task; only then the rows are
-    hash-distributed by the table key (so later key-grouped steps can reuse
-    the partitioning) over ``spark.sql.shuffle.partitions`` partitions.
+    per-row text work above it would run in one task.  Only then are the rows
+    hash-distributed by the table key over ``spark.sql.shuffle.partitions``
+    partitions and written once as a reliable checkpoint in the shared
+    folder: without that cut, Catalyst pushes expensive predicates back below
+    the redistribution onto the single split.  The result is memoised per
+    session and input, so the small copy is written once.
     """
     df = spark.read.parquet(path)
     target = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if df.rdd.getNumPartitions() >= min(target, spark.sparkContext.defaultParallelism):
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    memo = (spark.sparkContext.applicationId, path, key, target)
+    if memo not in _SPREAD:
+        spread = df.repartition(target, key) if key else df.repartition(target)
+        _SPREAD[memo] = cut_lineage(spread)
+    return _SPREAD[memo]
 
 
 def write_dataset(
