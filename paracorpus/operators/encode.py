@@ -45,6 +45,9 @@ def build_vocab(texts: DataFrame, text_col: str, checkpoint: bool = True) -> Dat
     """
     toks = texts.select(F.explode(word_tokens(F.col(text_col))).alias("token"))
     freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    if checkpoint:
+        # ranking needs a count and the rows themselves: tokenize the corpus once
+        freq = cut_lineage(freq)
     h = hash52(F.col("token"))
     keyed = freq.withColumn("__h", h).withColumn("__k", -F.col("freq").cast("double") + F.col("__h") / F.lit(2.0**53))
     ranked = with_row_pos(keyed, ["__k", "__h", "token"], "__pos")
@@ -80,9 +83,9 @@ def encode_sides(
             F.struct(F.lit(n).alias("side"), txt.alias("text"), code.alias("code")) for n, (txt, code) in sides.items()
         ])).alias("s"),
     )
-    words = stream.select("__key", F.col("s.side").alias("side"), F.posexplode(word_tokens(F.col("s.text")))).filter(
-        F.col("pos") < max_len - N_SPECIAL
-    )
+    # the whole text is tokenized; only the positions the truncation keeps are exploded
+    kept = F.slice(word_tokens(F.col("s.text")), 1, max(max_len - N_SPECIAL, 0))
+    words = stream.select("__key", F.col("s.side").alias("side"), F.posexplode(kept))
     voc = _maybe_broadcast(vocab.select(F.col("token").alias("col"), F.col("id")))
     word_ids = words.join(voc, "col", "left").select(
         "__key", "side", "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")
