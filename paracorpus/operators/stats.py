@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paracorpus.operators.rowid import with_row_pos
+from paracorpus.session import cut_lineage
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -60,7 +61,10 @@ def token_histogram(df: DataFrame, tokens_col: str, bins: int = 50, digits: int
     The global min/max is one aggregate collected as two numbers; every bin
     appears, empty ones with count 0.
     """
-    t = F.col(tokens_col).cast("double")
+    # both passes (range, then bins) read one materialised numeric column,
+    # so the text work behind it runs once
+    df = cut_lineage(df.select(F.col(tokens_col).cast("double").alias(tokens_col)))
+    t = F.col(tokens_col)
     lo_hi = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     spark = df.sparkSession
