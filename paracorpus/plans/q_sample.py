@@ -188,12 +188,17 @@ def q_lang_code_lookup(spark, sf):
 
 @register(
     "lang_dim",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in langs.lang_dim_rows())
-    + ") AS t(lang, code, profile)",
+    with_ctes("wide", body=f""", dim AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in langs.lang_dim_rows())})
+    AS t(lang, code, profile)),
+usable AS (SELECT unnest({_langs_list_sql('strip', False)}) AS lang FROM wide)
+SELECT d.lang, d.code, d.profile, count(*) AS n_rows FROM usable u JOIN dim d ON d.lang = u.lang GROUP BY ALL"""),
 )
 def q_lang_dim(spark, sf):
-    return langs.lang_dim(spark)
+    """The three-profile code dimension, with how many corpus rows carry each language."""
+    usable = fx.wide(spark, sf).select(F.explode(langs.available_langs(WIDE_LANGS, "strip")).alias("lang"))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    # the dimension is a fixed, tiny table (38 rows): broadcast it
+    return counts.join(F.broadcast(langs.lang_dim(spark)), "lang").select("lang", "code", "profile", "n_rows")
 
 
 # ------------------------------------------------------------------ chat rows
