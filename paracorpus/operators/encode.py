@@ -61,6 +61,37 @@ def _maybe_broadcast(vocab: DataFrame) -> DataFrame:
     return F.broadcast(vocab) if vocab.count() <= MAX_BROADCAST_VOCAB else vocab
 
 
+HOT_SALTS = 64
+
+
+def lookup_ids(words: DataFrame, vocab: DataFrame, token_col: str = "col", salt_col: str = "pos") -> DataFrame:
+    """Join a token stream to the vocabulary (adds ``id``, null when unknown).
+
+    A vocabulary under ``MAX_BROADCAST_VOCAB`` rows is broadcast.  A larger one
+    is joined by shuffle; its frequent tokens (a word like "the" can be a
+    large share of the stream) are salted: their vocabulary rows are copied
+    ``HOT_SALTS`` times and stream rows pick a copy by ``salt_col``, so no
+    single task receives every occurrence of a hot token.  The hot set comes
+    from the frequencies the vocabulary already holds.
+    """
+    n = vocab.count()
+    voc = vocab.select(F.col("token").alias(token_col), "id", "freq")
+    if n <= MAX_BROADCAST_VOCAB:
+        return words.join(F.broadcast(voc.drop("freq")), token_col, "left")
+    total = vocab.agg(F.sum("freq")).first()[0] or 0
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot_limit = max(1, total // (4 * parts))  # a token worth a quarter of a partition is hot
+    hot = F.col("freq") > F.lit(hot_limit)
+    # only hot tokens are copied; the rest keep a single row with salt 0
+    salted_voc = voc.filter(~hot).withColumn("__salt", F.lit(0)).unionByName(
+        voc.filter(hot).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))))
+    )
+    hot_tokens = voc.filter(hot).select(token_col, F.lit(True).alias("__hot"))
+    w = words.join(F.broadcast(hot_tokens), token_col, "left")  # the hot set is small by construction
+    w = w.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.col(salt_col), F.lit(HOT_SALTS))).otherwise(F.lit(0)))
+    return w.join(salted_voc.drop("freq"), [token_col, "__salt"], "left").drop("__salt", "__hot")
+
+
 def encode_sides(
     df: DataFrame,
     key: str,
@@ -86,8 +117,7 @@ def encode_sides(
     # the whole text is tokenized; only the positions the truncation keeps are exploded
     kept = F.slice(word_tokens(F.col("s.text")), 1, max(max_len - N_SPECIAL, 0))
     words = stream.select("__key", F.col("s.side").alias("side"), F.posexplode(kept))
-    voc = _maybe_broadcast(vocab.select(F.col("token").alias("col"), F.col("id")))
-    word_ids = words.join(voc, "col", "left").select(
+    word_ids = lookup_ids(words, vocab).select(
         "__key", "side", "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")
     )
     tag_rows = stream.select(

@@ -148,3 +148,15 @@ def test_encode_decode_roundtrip(spark):
     assert list(rows[2].attention_mask) == [1, 1, 0, 0, 0]
     dec = {r.row_id: r.text for r in encode.decode_ids(enc, "row_id", "input_ids", vocab).collect()}
     assert dec == {1: "a b c", 2: ""}
+
+
+def test_salted_vocab_join_equals_plain(spark, monkeypatch):
+    from paracorpus.operators import encode as enc
+
+    words = spark.range(3000).select((F.col("id") % 7).alias("pos"),
+                                     F.when(F.col("id") % 3 == 0, "the").otherwise(F.concat(F.lit("w"), (F.col("id") % 50).cast("string"))).alias("col"))
+    vocab = enc.build_vocab(words.select(F.col("col").alias("t")), "t")
+    plain = sorted(tuple(r) for r in enc.lookup_ids(words, vocab).collect())
+    monkeypatch.setattr(enc, "MAX_BROADCAST_VOCAB", 0)  # force the shuffle + salting path
+    salted = sorted(tuple(r) for r in enc.lookup_ids(words, vocab).collect())
+    assert plain == salted and len(plain) == 3000
