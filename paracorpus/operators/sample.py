@@ -115,3 +115,14 @@ def split_random(df: DataFrame, test_size: float, seed: int, key: str = "row_id"
     h = df.withColumn("__h", hash52(F.col(key), str(seed)))
     pos = with_row_pos(h, ["__h", key], "__pos")
     return pos.withColumn("split", F.when(F.col("__pos") < n_test, "test").otherwise("train")).drop("__h", "__pos")
+
+
+def gather_by_index(df: DataFrame, indices: DataFrame, key: str = "row_id", rank_col: str = "draw_rank",
+                    max_broadcast: int = MAX_TAKE_ORDERED) -> DataFrame:
+    """``dataset.select(indices)``: rows of ``df`` named by ``indices``
+    (key + draw rank), in draw order.  The index list is broadcast only when
+    its row count is within ``max_broadcast``; otherwise it is a shuffle join."""
+    idx = indices.select(key, rank_col)
+    if idx.count() <= max_broadcast:
+        idx = F.broadcast(idx)
+    return df.join(idx, key, "inner").orderBy(rank_col)

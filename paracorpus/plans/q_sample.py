@@ -112,6 +112,17 @@ def q_sample_with_pinned(spark, sf):
     ).select("row_id", "draw_rank")
 
 
+@register(
+    "gather_by_index",
+    with_ctes("pairs", body=f", pool AS ({_POOL_SQL}), s AS ({_sample_sql('exp', SMALL_SAMPLE_N)}) "
+              "SELECT p.row_id, s.draw_rank, p.english, p.dataset_source FROM pairs p JOIN s ON s.row_id = p.row_id"),
+)
+def q_gather_by_index(spark, sf):
+    drawn = sample.weighted_sample(_pool(spark, sf), SMALL_SAMPLE_N, SEED, "darija_tokens").select("row_id", "draw_rank")
+    src = fx.pairs(spark, sf).select("row_id", "english", "dataset_source")
+    return sample.gather_by_index(src, drawn).select("row_id", "draw_rank", "english", "dataset_source")
+
+
 @register(
     "index_spread",
     with_ctes("pairs", body=f", pool AS ({_POOL_SQL}), s AS ({_sample_sql('exp', SMALL_SAMPLE_N)}), "
