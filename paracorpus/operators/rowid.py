@@ -5,8 +5,9 @@ The reference leans on list order (``select(range)``, ``keep='first'``,
 dense 0-based position is computed in a distributed way:
 
 1. the order key is cut into ``k`` ranges by approximate quantiles (``k`` grows
-   with the row count, so each range holds about ``rows_per_bucket`` rows and
-   the driver only ever sees ``k`` split points);
+   with the row count and the estimated bytes, so each range holds at most
+   about ``rows_per_bucket`` rows or 256 MB, and the driver only ever sees
+   ``k`` split points);
 2. ``row_number`` runs inside (partition columns, range) groups, in parallel;
 3. per-(group, range) counts, a table of at most groups x ``k`` rows, are
    turned into running offsets and broadcast back.
@@ -24,9 +25,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
+DEFAULT_BYTES_PER_BUCKET = 256 * 1024 * 1024
+MIN_ROWS_PER_BUCKET = 10_000
 MAX_BROADCAST_OFFSETS = 2_000_000
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of ``df`` (0 when unavailable)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001
+        return 0
+
+
 def _as_list(x: str | Sequence[str] | None) -> list[str]:
     if x is None:
         return []
@@ -48,8 +59,13 @@ def with_row_pos(
     parts = _as_list(partition_cols)
     per_bucket = rows_per_bucket or int(spark.conf.get("paracorpus.rowsPerBucket", str(DEFAULT_ROWS_PER_BUCKET)))
 
+    per_bytes = int(spark.conf.get("paracorpus.bytesPerBucket", str(DEFAULT_BYTES_PER_BUCKET)))
     n = df.count()
-    k = max(1, -(-n // per_bucket))
+    # ranges are bounded in rows and in bytes (rows may carry whole documents);
+    # an unknown size estimate is capped by a minimum number of rows per range
+    by_rows = -(-n // per_bucket)
+    by_bytes = min(-(-_estimated_bytes(df) // per_bytes), -(-n // MIN_ROWS_PER_BUCKET))
+    k = max(1, by_rows, by_bytes)
     bucket = "__pc_bucket"
     if k == 1:
         staged = df.withColumn(bucket, F.lit(0.0))
