@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from paracorpus.llm import hilbert, mixing
-from paracorpus.llm.common import WORD, table
+from paracorpus.llm import hilbert, mixing, simple8b
+from paracorpus.llm.common import table
 from paracorpus.session import ensure_checkpoint_dir
 
 QUERIES = {}
@@ -21,4 +21,5 @@ def _query(name, fn, *tables, sql=None):
 
 
 _query("op1_hilbert_shards", hilbert.op1_query, "documents")
+_query("op2_simple8b_tokens", simple8b.op2_query, "documents")
 _query("op10_entropy_mix", mixing.op10_query, "documents")
