@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paracorpus.llm import hilbert, mixing, simple8b
+from paracorpus.llm import hilbert, mixing, near_dup, simple8b
 from paracorpus.llm.common import table
 from paracorpus.session import ensure_checkpoint_dir
 
@@ -22,4 +22,5 @@ def _query(name, fn, *tables, sql=None):
 
 _query("op1_hilbert_shards", hilbert.op1_query, "documents")
 _query("op2_simple8b_tokens", simple8b.op2_query, "documents")
+_query("op7_odd_sketch_dedup", near_dup.op7_query, "documents")
 _query("op10_entropy_mix", mixing.op10_query, "documents")
