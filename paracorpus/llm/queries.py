@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paracorpus.llm import decontaminate, hilbert, line_quality, mixing, near_dup, secret_scan, simple8b
+from paracorpus.llm import chat_tree, decontaminate, hilbert, line_quality, mixing, near_dup, secret_scan, simple8b
 from paracorpus.llm.common import table
 from paracorpus.session import ensure_checkpoint_dir
 
@@ -26,4 +26,5 @@ _query("op4_line_quality", line_quality.op4_query, "documents")
 _query("op5_trigram_secrets", secret_scan.op5_query, "documents")
 _query("op7_odd_sketch_dedup", near_dup.op7_query, "documents")
 _query("op8_qgram_leaks", decontaminate.op8_query, "documents", "benchmark")
+_query("op9_chat_tree", chat_tree.op9_query, "conversations")
 _query("op10_entropy_mix", mixing.op10_query, "documents")
