@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from paracorpus.llm import chat_tree, decontaminate, hilbert, line_quality, mixing, near_dup, secret_scan, simple8b
+from paracorpus.llm import (
+    chat_tree,
+    decontaminate,
+    hilbert,
+    html_layout,
+    licenses,
+    line_quality,
+    mixing,
+    near_dup,
+    secret_scan,
+    simple8b,
+)
 from paracorpus.llm.common import table
 from paracorpus.session import ensure_checkpoint_dir
 
@@ -22,8 +33,10 @@ def _query(name, fn, *tables, sql=None):
 
 _query("op1_hilbert_shards", hilbert.op1_query, "documents")
 _query("op2_simple8b_tokens", simple8b.op2_query, "documents")
+_query("op3_html_layout", html_layout.op3_query, "pages")
 _query("op4_line_quality", line_quality.op4_query, "documents")
 _query("op5_trigram_secrets", secret_scan.op5_query, "documents")
+_query("op6_license_families", licenses.op6_query, "documents")
 _query("op7_odd_sketch_dedup", near_dup.op7_query, "documents")
 _query("op8_qgram_leaks", decontaminate.op8_query, "documents", "benchmark")
 _query("op9_chat_tree", chat_tree.op9_query, "conversations")
