@@ -207,11 +207,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     per = spill(per.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__copies", "__rows"), "mix_copies")
     keyed = docs.withColumn("__t", F.xxhash64(F.col(id_col), F.col(text_col)))
     joined = keyed.join(per, keyed[id_col].eqNullSafe(per["__id"]) & (F.col("__t") == F.col("__tie")))
-    one = Window.partitionBy("__id", "__tie").orderBy(F.lit(1))
-    single = joined.filter("__rows = 1").withColumn("__n", F.col("__copies"))
-    several = joined.filter("__rows > 1").withColumn("__k", F.row_number().over(one) - 1)
-    several = several.withColumn("__n", F.expr("__copies div __rows + if(__k < __copies % __rows, 1, 0)")).drop("__k")
-    out = single.unionByName(several).filter("__n > 0")
+    out = joined.filter("__rows = 1").withColumn("__n", F.col("__copies"))
+    if per.filter("__rows > 1").limit(1).count():
+        one = Window.partitionBy("__id", "__tie").orderBy(F.lit(1))
+        several = joined.filter("__rows > 1").withColumn("__k", F.row_number().over(one) - 1)
+        several = several.withColumn("__n", F.expr("__copies div __rows + if(__k < __copies % __rows, 1, 0)")).drop("__k")
+        out = out.unionByName(several)
+    out = out.filter("__n > 0")
     return out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*[F.col(c) for c in docs.columns])
 
 

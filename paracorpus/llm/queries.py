@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from paracorpus.llm import (
     chat_tree,
     decontaminate,
@@ -41,3 +42,13 @@ _query("op7_odd_sketch_dedup", near_dup.op7_query, "documents")
 _query("op8_qgram_leaks", decontaminate.op8_query, "documents", "benchmark")
 _query("op9_chat_tree", chat_tree.op9_query, "conversations")
 _query("op10_entropy_mix", mixing.op10_query, "documents")
+
+
+def _pipeline(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = _pipeline
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
