@@ -212,7 +212,8 @@ def _search_block(limit: int):
         _, low, high = key
         side = rows["block"].to_numpy()
         node, label = rows["id"].to_numpy(), rows["label"].to_numpy()
-        sketch = np.array(rows["sketch"].to_list(), np.int64).reshape(len(rows), SKETCH_WORDS)
+        # unsigned: numpy counts the ones of a negative number's magnitude
+        sketch = np.array(rows["sketch"].to_list(), np.int64).reshape(len(rows), SKETCH_WORDS).view(np.uint64)
         left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
         out_a, out_b = [], []
         for i in left:
