@@ -32,31 +32,31 @@ TABLES = [
 ]
 
 
-# Row key of each table: used to spread an under-split scan (see read_table).
-TABLE_KEYS = {
-    "documents": "doc_id", "benchmark": "item_id", "conversations": "conv_id", "embeddings": "vec_id",
-    "events": "event_id", "labels": "doc_id", "pages": "page_id", "lineitem": "l_orderkey", "orders": "o_orderkey",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from paracorpus.sources.dataset import read_table
-
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def to_arabic(c):
     return F.translate(c, LATIN_LETTERS, ARABIC_LETTERS)
 
 
-def word_tokens(c):
-    """Whitespace tokens (Python ``split()``) as an array."""
-    return F.regexp_extract_all(c, F.lit(f"{NOT_WS}+"), 0)
+def word_tokens(c, limit: int | None = None):
+    """Whitespace tokens (Python ``split()``) as an array; at most the first ``limit``.
+
+    The split stops there, and one pattern cuts the text once.
+    """
+    trimmed = F.regexp_replace(c, f"^{WS_CLASS}+", "")
+    cut = F.split(trimmed, f"{WS_CLASS}+", -1 if limit is None else limit + 1)
+    kept = cut if limit is None else F.slice(cut, 1, limit)
+    return F.filter(kept, lambda t: t != F.lit(""))
 
 
 def word_count(c):
-    """Number of whitespace tokens, counted without building the token array."""
-    return F.regexp_count(c, F.lit(f"{NOT_WS}+"))
+    """Number of whitespace tokens, from the pieces of one split."""
+    pieces = F.split(c, f"{WS_CLASS}+", -1)
+    edge = F.when(F.element_at(pieces, 1) == "", 1).otherwise(0) + F.when(F.element_at(pieces, -1) == "", 1).otherwise(0)
+    # a text without tokens is one or two empty pieces
+    return F.when(c.isNotNull(), F.greatest(F.size(pieces) - edge, F.lit(0)))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -86,7 +86,7 @@ def prior_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("item_id") + F.lit(1_000_000_000)).alias("row_id"),
         F.col("text").alias("english"),
         to_arabic(F.col("text")).alias("darija_ar"),
-        F.lit("terjama-bench").alias("dataset_name"),
+        F.lit("bench-v1").alias("dataset_name"),
     )
 
 
@@ -109,7 +109,8 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paracorpus.operators.rowid import with_row_pos
 
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    d = with_row_pos(d, "doc_id", "pos", partition_cols="lang")
+    pos = with_row_pos(d.select("doc_id", "lang"), "doc_id", "pos", partition_cols="lang").select("doc_id", "pos")
+    d = d.join(pos, "doc_id")
     rn = F.col("pos") + 1
     t = F.col("text")
     lang = F.col("lang")
@@ -181,7 +182,7 @@ CTE = {
   FROM (SELECT *, translate(text, {A}, {B}) AS ar FROM documents) d)""",
     "prior_pairs": f"""prior_pairs AS (
   SELECT item_id + 1000000000 AS row_id, text AS english, translate(text, {A}, {B}) AS darija_ar,
-         'terjama-bench' AS dataset_name FROM benchmark)""",
+         'bench-v1' AS dataset_name FROM benchmark)""",
     "bench": f"""bench AS (
   SELECT item_id AS row_id, concat('topic', cast(item_id % 5 AS VARCHAR)) AS topic,
     concat('sub', cast(item_id % 10 AS VARCHAR)) AS subtopic, '' AS arabizi, text AS english,

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from paracorpus.functions.text import contains_code, is_blank
 
-MAX_BROADCAST_BLACKLIST = 1_000_000
-
 
 def dropna_any(df: DataFrame) -> DataFrame:
     """drop rows with a null in any column (empty string is not null)."""
@@ -50,17 +48,26 @@ def filter_bad_sources(df: DataFrame, bad, col: str = "dataset_source") -> DataF
     """Source blacklist.
 
     A Python list becomes a pushed-down ``NOT IN``.  A DataFrame blacklist is
-    applied as a left-anti join; it is broadcast only after its row count is
-    checked, otherwise the join is left to a shuffle.  Null sources are kept.
+    applied as a left-anti join, which Spark broadcasts if the list's measured
+    bytes allow.  Null sources are kept.
     """
     if not isinstance(bad, DataFrame):
         return df.filter(not_in_keep_null(F.col(col), bad))
     bad = bad.select(F.col(bad.columns[0]).alias("__bad")).dropna().distinct()
-    if bad.count() <= MAX_BROADCAST_BLACKLIST:
-        bad = F.broadcast(bad)
     return df.join(bad, F.col(col) == F.col("__bad"), "left_anti")
 
 
+def max_tokens_report(df: DataFrame, tokens_col: str, limit: int, src_col: str, excluded: str) -> DataFrame:
+    """F5's counts in one pass: rows kept, too long, excluded, and dropped for a null count."""
+    kept = (F.col(tokens_col) < limit) & neq_keep_null(F.col(src_col), excluded)
+    return df.agg(
+        F.count_if(F.coalesce(kept, F.lit(False))).alias("n_kept"),
+        F.count_if(F.col(tokens_col) >= limit).alias("n_too_long"),
+        F.count_if(F.col(src_col) == excluded).alias("n_excluded"),
+        F.count_if(F.col(tokens_col).isNull()).alias("n_null_count"),
+    )
+
+
 def filter_max_tokens(df: DataFrame, tokens_col: str, limit: int, src_col: str, excluded: str) -> DataFrame:
     """``tokens < limit and src != excluded`` (null source kept; null count dropped)."""
     return df.filter((F.col(tokens_col) < limit) & neq_keep_null(F.col(src_col), excluded))

@@ -2,40 +2,25 @@
 
 The reference leans on list order (``select(range)``, ``keep='first'``,
 ``add_column``, fixed-size chunks).  Here order is always an explicit key and a
-dense 0-based position is computed in a distributed way:
+dense 0-based position is computed in one way at every size:
 
-1. the order key is cut into ``k`` ranges by approximate quantiles (``k`` grows
-   with the row count and the estimated bytes, so each range holds at most
-   about ``rows_per_bucket`` rows or 256 MB, and the driver only ever sees
-   ``k`` split points);
-2. ``row_number`` runs inside (partition columns, range) groups, in parallel;
-3. per-(group, range) counts, a table of at most groups x ``k`` rows, are
-   turned into running offsets and broadcast back.
+1. rows are range-partitioned and sorted by (partition columns, order columns),
+   numbered inside their partition and written once, so one layout is fixed;
+2. the row counts per partition (one number for each shuffle partition) give
+   each partition its offset;
+3. with partition columns, the first position of each group is subtracted.
 
-Everything is a deterministic function of the data, so a retried task
-recomputes the same positions.
+Null keys are ordinary values, first in the order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
-DEFAULT_BYTES_PER_BUCKET = 256 * 1024 * 1024
-MIN_ROWS_PER_BUCKET = 10_000
-MAX_BROADCAST_OFFSETS = 2_000_000
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of ``df`` (0 when unavailable)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001
-        return 0
+from paracorpus.session import written
 
 
 def _as_list(x: str | Sequence[str] | None) -> list[str]:
@@ -49,48 +34,34 @@ def with_row_pos(
     order_cols: str | Sequence[str],
     pos_col: str = "row_pos",
     partition_cols: str | Sequence[str] | None = None,
-    rows_per_bucket: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Add a dense 0-based position by ``order_cols`` (ascending, first column
-    numeric), restarting per ``partition_cols``.  Ties must be broken by the
-    order columns themselves (pass a unique key last)."""
+    """Add a dense 0-based position by ``order_cols`` (ascending, null first),
+    restarting per ``partition_cols`` (null is a group).  Ties must be broken by
+    the order columns themselves (pass a unique key last).  ``ranges`` is the
+    number of range partitions, by default the session's shuffle partitions.
+    Pass narrow rows and join the wide ones by key where texts are large."""
     spark = df.sparkSession
-    order = _as_list(order_cols)
     parts = _as_list(partition_cols)
-    per_bucket = rows_per_bucket or int(spark.conf.get("paracorpus.rowsPerBucket", str(DEFAULT_ROWS_PER_BUCKET)))
-
-    per_bytes = int(spark.conf.get("paracorpus.bytesPerBucket", str(DEFAULT_BYTES_PER_BUCKET)))
-    n = df.count()
-    # ranges are bounded in rows and in bytes (rows may carry whole documents);
-    # an unknown size estimate is capped by a minimum number of rows per range
-    by_rows = -(-n // per_bucket)
-    by_bytes = min(-(-_estimated_bytes(df) // per_bytes), -(-n // MIN_ROWS_PER_BUCKET))
-    k = max(1, by_rows, by_bytes)
-    bucket = "__pc_bucket"
-    if k == 1:
-        staged = df.withColumn(bucket, F.lit(0.0))
-    else:
-        probs = [i / k for i in range(1, k)]
-        key = order[0]
-        qs = df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, probs, 1.0 / (8 * k))
-        splits = [float("-inf")] + sorted(set(qs)) + [float("inf")]
-        tmp = "__pc_key"
-        staged = Bucketizer(splits=splits, inputCol=tmp, outputCol=bucket, handleInvalid="keep").transform(
-            df.withColumn(tmp, F.col(key).cast("double"))
-        ).drop(tmp)
-
-    grp = parts + [bucket]
-    local = F.row_number().over(Window.partitionBy(*grp).orderBy(*order)) - 1
-    if k == 1 and not parts:
-        return staged.withColumn(pos_col, local).drop(bucket)
-
-    counts = staged.groupBy(*grp).agg(F.count(F.lit(1)).alias("__pc_n"))
-    staged = staged.withColumn("__pc_local", local)
-    run = Window.partitionBy(*parts).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*grp, F.coalesce(F.sum("__pc_n").over(run), F.lit(0)).alias("__pc_off"))
-    # offsets has one row per (group, range); its size is bounded by groups x k
-    n_off = offsets.count() if parts else k
-    if n_off <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
-    out = staged.join(offsets, on=grp, how="inner")
-    return out.withColumn(pos_col, F.col("__pc_off") + F.col("__pc_local")).drop("__pc_off", "__pc_local", bucket)
+    order = parts + _as_list(order_cols)
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mid, rng = "__pc_mid", "__pc_range"
+    placed = written(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(mid, F.monotonically_increasing_id()), "rowpos"
+    ).withColumn(rng, F.shiftright(mid, 33).cast("int"))
+    sizes = {r[rng]: r["count"] for r in placed.groupBy(rng).count().collect()}  # one row per range
+    offsets, total = [], 0
+    for i in range(max(sizes, default=0) + 1):
+        offsets.append(total)
+        total += sizes.get(i, 0)
+    at = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(rng) + 1) + F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
+    out = placed.withColumn(pos_col, at)
+    if parts:
+        names = [f"__pc_g{i}" for i in range(len(parts))]
+        first = out.groupBy(*[F.col(p).alias(g) for p, g in zip(parts, names)]).agg(F.min(pos_col).alias("__pc_first"))
+        same = [F.col(p).eqNullSafe(F.col(g)) for p, g in zip(parts, names)]
+        cond = same[0]
+        for c in same[1:]:
+            cond = cond & c
+        out = out.join(first, cond).withColumn(pos_col, F.col(pos_col) - F.col("__pc_first")).drop("__pc_first", *names)
+    return out.drop(mid, rng)

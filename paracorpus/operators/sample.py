@@ -9,16 +9,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paracorpus.functions.rand import hash52, uniform
 from paracorpus.operators.rowid import with_row_pos
-
-# Above this many draws the top-N is taken by position instead of a single
-# ordered-limit task.
-MAX_TAKE_ORDERED = 1_000_000
-
+from paracorpus.session import written
 
 def head_rows(df: DataFrame, n: int = 5, order_col: str = "row_id") -> DataFrame:
     """O2: ``head()`` = first ``n`` rows by the explicit order key."""
@@ -42,13 +38,34 @@ def seeded_shuffle(df: DataFrame, seed: int, key: str = "row_id") -> DataFrame:
     return with_row_pos(h, ["__h", key], "shuffle_pos").drop("__h")
 
 
-def _take_smallest(df: DataFrame, key: str, tie: str, n: int, rank_col: str) -> DataFrame:
-    if n <= MAX_TAKE_ORDERED:
-        top = df.orderBy(F.col(key), F.col(tie)).limit(n)
-        # at most n rows (bounded by MAX_TAKE_ORDERED) reach this ranking window
-        return top.withColumn(rank_col, F.row_number().over(Window.orderBy(F.col(key), F.col(tie))))
-    ranked = with_row_pos(df, [key, tie], rank_col)
-    return ranked.filter(F.col(rank_col) < n).withColumn(rank_col, F.col(rank_col) + 1)
+def draw_ranks(
+    df: DataFrame, n: int, seed: int, tokens_col: str, key: str = "row_id", weighting: str = "exp", rank_col: str = "draw_rank"
+) -> DataFrame:
+    """The draws of a weighted sample: ``key`` and ``rank_col`` (1-based), no other column.
+
+    (key, weight) is written once, so token counts behind ``tokens_col`` run
+    once.  Rows whose weight is null, zero or not finite are never drawn.  An
+    approximate quantile cuts the keys a little above the n smallest; the exact
+    order of the rest is a distributed position, so no task ranks them all.
+    """
+    t = F.col(tokens_col).cast("double")
+    if weighting not in ("exp", "linear"):
+        raise ValueError(weighting)
+    narrow = written(df.select(F.col(key), t.alias("__t")), "draw")
+    if weighting == "exp":
+        mean = narrow.agg(F.avg("__t")).first()[0]
+        logw = F.col("__t") / F.lit(mean) if mean else F.lit(None).cast("double")
+    else:
+        logw = F.ln("__t")  # null for zero and negative weights
+    race = F.ln(-F.ln(uniform(F.col(key), str(seed)))) - logw
+    keyed = written(narrow.select(key, race.alias("__k")).filter("__k IS NOT NULL AND NOT isnan(__k)"), "race")
+    total = keyed.count()
+    if total > n:
+        share = min(1.0, 1.1 * n / total + 0.001)  # percentile_approx is off by at most 1 / 10,000 of the rows
+        cut = keyed.agg(F.percentile_approx("__k", share, 10_000)).first()[0]
+        keyed = keyed.filter(F.col("__k") <= F.lit(cut))
+    ranked = with_row_pos(keyed, ["__k", key], rank_col).filter(F.col(rank_col) < n)
+    return ranked.select(key, (F.col(rank_col) + 1).cast("int").alias(rank_col))
 
 
 def weighted_sample(
@@ -60,40 +77,31 @@ def weighted_sample(
     weighting: str = "exp",
     rank_col: str = "draw_rank",
 ) -> DataFrame:
-    """Weighted sample without replacement of size ``min(n, rows)``.
+    """Weighted sample without replacement of size ``min(n, weighted rows)``.
 
     Weights are ``exp(t / mean(t))`` (``weighting='exp'``) or ``t``
-    (``'linear'``).  Efraimidis-Spirakis: keep the ``n`` smallest keys
-    ``ln(-ln u) - ln w``, computed in log space so large weights cannot
-    overflow.  Same inclusion law as sequential weighted draws without
-    replacement; ``draw_rank`` is the draw order.
+    (``'linear'``); a null or zero weight is never drawn.  Efraimidis-Spirakis:
+    keep the ``n`` smallest keys ``ln(-ln u) - ln w``, computed in log space so
+    large weights cannot overflow.  Same inclusion law as sequential weighted
+    draws without replacement; ``draw_rank`` is the draw order.  ``key`` must be
+    unique: the drawn rows are gathered by it.
     """
-    t = F.col(tokens_col).cast("double")
-    u = uniform(F.col(key), str(seed))
-    if weighting == "exp":
-        mean = df.agg(F.avg(t)).first()[0]
-        if mean is None:
-            return df.withColumn(rank_col, F.lit(None).cast("int")).limit(0)
-        logw = t / F.lit(mean)
-    elif weighting == "linear":
-        logw = F.ln(t)
-    else:
-        raise ValueError(weighting)
-    keyed = df.withColumn("__k", F.ln(-F.ln(u)) - logw)
-    return _take_smallest(keyed, "__k", key, n, rank_col).drop("__k")
+    return df.join(draw_ranks(df, n, seed, tokens_col, key, weighting, rank_col), key)
 
 
 def sample_with_pinned_source(
     df: DataFrame, n: int, seed: int, tokens_col: str, src_col: str, pinned: str, max_tokens: int, key: str = "row_id"
 ) -> DataFrame:
     """Weighted sample of the rows below ``max_tokens`` outside ``pinned``,
-    plus every row of the ``pinned`` source."""
+    plus every row of the ``pinned`` source, whose ``draw_rank`` is null.
+
+    ``df`` is read twice: narrowly for the draw, whole for the gathered rows.
+    """
     from paracorpus.operators.filters import filter_max_tokens
 
-    pool = filter_max_tokens(df, tokens_col, max_tokens, src_col, pinned)
-    drawn = weighted_sample(pool, n, seed, tokens_col, key)
-    kept = df.filter(F.col(src_col) == F.lit(pinned)).withColumn("draw_rank", F.lit(None).cast("int"))
-    return drawn.unionByName(kept)
+    pool = filter_max_tokens(df.select(key, tokens_col, src_col), tokens_col, max_tokens, src_col, pinned)
+    ranks = draw_ranks(pool, n, seed, tokens_col, key)
+    return df.join(ranks, key, "left").filter(F.col("draw_rank").isNotNull() | (F.col(src_col) == F.lit(pinned)))
 
 
 def split_positional(df: DataFrame, test_size: float, order_col: str = "row_id") -> DataFrame:
@@ -112,17 +120,12 @@ def split_random(df: DataFrame, test_size: float, seed: int, key: str = "row_id"
     """``train_test_split``: ``ceil(n * test_size)`` rows in hash order are test."""
     n = df.count()
     n_test = math.ceil(n * test_size)
-    h = df.withColumn("__h", hash52(F.col(key), str(seed)))
-    pos = with_row_pos(h, ["__h", key], "__pos")
+    pos = with_row_pos(df.withColumn("__h", hash52(F.col(key), str(seed))), ["__h", key], "__pos")
     return pos.withColumn("split", F.when(F.col("__pos") < n_test, "test").otherwise("train")).drop("__h", "__pos")
 
 
-def gather_by_index(df: DataFrame, indices: DataFrame, key: str = "row_id", rank_col: str = "draw_rank",
-                    max_broadcast: int = MAX_TAKE_ORDERED) -> DataFrame:
+def gather_by_index(df: DataFrame, indices: DataFrame, key: str = "row_id", rank_col: str = "draw_rank") -> DataFrame:
     """``dataset.select(indices)``: rows of ``df`` named by ``indices``
-    (key + draw rank), in draw order.  The index list is broadcast only when
-    its row count is within ``max_broadcast``; otherwise it is a shuffle join."""
-    idx = indices.select(key, rank_col)
-    if idx.count() <= max_broadcast:
-        idx = F.broadcast(idx)
-    return df.join(idx, key, "inner").orderBy(rank_col)
+    (key + draw rank), in draw order.  Spark broadcasts the index list if its
+    measured bytes allow, else the join shuffles."""
+    return df.join(indices.select(key, rank_col), key, "inner").orderBy(rank_col)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paracorpus.operators.rowid import with_row_pos
-from paracorpus.session import cut_lineage
+from paracorpus.session import written
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def token_histogram(df: DataFrame, tokens_col: str, bins: int = 50, digits: int
     """
     # both passes (range, then bins) read one materialised numeric column,
     # so the text work behind it runs once
-    df = cut_lineage(df.select(F.col(tokens_col).cast("double").alias(tokens_col)))
+    df = written(df.select(F.col(tokens_col).cast("double").alias(tokens_col)), "histogram")
     t = F.col(tokens_col)
     lo_hi = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]

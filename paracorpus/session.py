@@ -8,7 +8,9 @@ benchmarks) that has no such setting gets one created for it.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -54,18 +56,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not _is_local(spark):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="paracorpus-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/paracorpus/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/paracorpus/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append((spark, path))
+    return path
+
+
+def release_scratch() -> None:
+    """Delete the folders that ``scratch_path`` handed out so far.
+
+    Call it when no frame that reads them is needed any more; it also runs when
+    the driver's interpreter exits.
+    """
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # noqa: BLE001 - the session has ended: nothing can be deleted through it
+            return
+
+
+atexit.register(release_scratch)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any file system that Spark reads; other failures are raised."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder))
+
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared folder, and a scan of it.
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared folder, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Cuts lineage like a checkpoint, and its readers prune columns and know its
+    size, so Spark itself decides whether a join may broadcast it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

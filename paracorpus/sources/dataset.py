@@ -11,41 +11,12 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paracorpus.operators.merge import split_dict
-from paracorpus.session import cut_lineage
-
-
-_SPREAD: dict[tuple, DataFrame] = {}
-
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Parquet scan that never leaves the cluster idle on an under-split input.
-
-    Large inputs arrive as many files / row groups and the scan alone gives at
-    least as many partitions as there are task slots; then the plain scan is
-    returned and filters / column pruning reach the Parquet reader.
-
-    A small input stored as one row group yields a single split, and all the
-    per-row text work above it would run in one task.  Only then are the rows
-    hash-distributed by the table key over ``spark.sql.shuffle.partitions``
-    partitions and written once as a reliable checkpoint in the shared
-    folder: without that cut, Catalyst pushes expensive predicates back below
-    the redistribution onto the single split.  The result is memoised per
-    session and input, so the small copy is written once.
-    """
-    df = spark.read.parquet(path)
-    target = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= min(target, spark.sparkContext.defaultParallelism):
-        return df
-    memo = (spark.sparkContext.applicationId, path, key, target)
-    if memo not in _SPREAD:
-        spread = df.repartition(target, key) if key else df.repartition(target)
-        _SPREAD[memo] = cut_lineage(spread)
-    return _SPREAD[memo]
+from paracorpus.session import path_exists
 
 
 def write_dataset(
@@ -57,29 +28,25 @@ def write_dataset(
 ) -> dict:
     """Write splits (dict or frame with the partition columns) + a commit note.
 
-    Returns the note (message, rows per partition, token sum); the counts come
-    from the data just written, read back from Parquet metadata-friendly scans.
+    Only the partitions in ``data`` are replaced (a writer option; the session
+    is left as it is).  The note (message, rows, token sum) is observed while
+    the rows are written, so it counts this write and costs no second scan.
     """
     df = split_dict(data) if isinstance(data, Mapping) else data
     spark = df.sparkSession
-    with_dynamic_overwrite(spark)
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-    written = spark.read.parquet(path)
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows")]
     if tokens_col:
-        aggs.append(F.sum(tokens_col).alias("tokens"))
-    stats = [r.asDict() for r in written.groupBy(*partition_cols).agg(*aggs).collect()]  # one row per partition
-    note = {"message": message or "", "partitions": stats}
+        counts.append(F.sum(tokens_col).alias("tokens"))
+    observed = df.observe(seen, *counts)
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+    note = {"message": message or "", **seen.get}
     spark.createDataFrame([(json.dumps(note, default=str),)], "note string").coalesce(1).write.mode("append").text(
         path.rstrip("/") + "_notes"
     )
     return note
 
 
-def with_dynamic_overwrite(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
-
 def read_split(spark: SparkSession, path: str, split: str, schema: StructType | None = None) -> DataFrame:
     """``load_dataset(path, split=...)``: partition-pruned scan."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -99,15 +66,9 @@ def read_config(spark: SparkSession, path: str, config: str, split: str | None =
     return df.drop("config")
 
 
-def write_partition(df: DataFrame, path: str, partition_col: str, value: str) -> None:
-    """Progressive sink; writes (replaces) exactly one partition value."""
-    with_dynamic_overwrite(df.sparkSession)
-    df.withColumn(partition_col, F.lit(value)).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-
-
 def finished_keys(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """Keys already present in a progressive sink (None when nothing was written)."""
-    try:
-        return spark.read.parquet(path).select(*keys).distinct()
-    except Exception:  # noqa: BLE001 - no data yet
-        return None
+    """Keys already in a progressive sink; None when nothing was written yet.
+
+    Only a missing folder counts as nothing written; any other failure is raised.
+    """
+    return spark.read.parquet(path).select(*keys).distinct() if path_exists(spark, path) else None
