@@ -84,6 +84,9 @@ def model_label(c) -> F.Column:
     return F.substring_index(c, "/", -1)
 
 
+SCORE_LABELS = {"bleu": "BLEU", "chrf": "chrF"}
+
+
 def scores_wide(long: DataFrame, metrics: Sequence[str], models: Sequence[str], key: str = "row_id") -> DataFrame:
     """P10: long (key, model, metrics...) -> one column per (metric, model label).
 
@@ -93,7 +96,7 @@ def scores_wide(long: DataFrame, metrics: Sequence[str], models: Sequence[str],
     labels = [m.split("/")[-1] for m in models]
     lab = model_label(F.col("model"))
     aggs = [
-        F.max(F.when(lab == F.lit(lbl), F.col(m))).alias(f"{m.upper() if m != 'chrf' else 'chrF'}_{lbl}")
+        F.max(F.when(lab == F.lit(lbl), F.col(m))).alias(f"{SCORE_LABELS.get(m, m)}_{lbl}")
         for m in metrics
         for lbl in labels
     ]

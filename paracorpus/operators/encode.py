@@ -1,9 +1,11 @@
 """Vocabulary, encode/decode and id-array operators.
 
 The subword tokenizer of the reference is re-aimed as a word vocabulary
-table: whitespace tokens ranked by frequency.  Encoding explodes tokens,
-looks them up with a (size-checked) broadcast join and re-assembles them in
-position order; every array operation after that is a higher-order function.
+table: whitespace tokens ranked by frequency, written once so Spark knows its
+size.  Encoding partitions rows by key first and explodes tokens after that, so
+a lookup that Spark may broadcast needs no exchange of tokens; a larger
+vocabulary is joined by shuffle, where adaptive execution splits hot tokens.
+Every array operation after that is a higher-order function.
 """
 
 from __future__ import annotations
@@ -15,15 +17,15 @@ from paracorpus.fixtures import word_count, word_tokens
 from paracorpus.functions.rand import hash52
 from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.operators.rowid import with_row_pos
-from paracorpus.session import cut_lineage
+from paracorpus.session import written
 
 # Special ids of our vocabulary.
 PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
 LANG_TAG_BASE = 3  # language tags follow, in LANG_CODES_TRAIN order
 FIRST_WORD_ID = 100
 IGNORE_LABEL = -100
+NULL_TEXT = "None"  # fixed value: what a missing text is encoded as
 N_SPECIAL = 2  # language tag + end of sequence, added to every encoded text
-MAX_BROADCAST_VOCAB = 5_000_000
 
 
 def lang_tag_ids() -> Column:
@@ -36,60 +38,17 @@ def token_count(c: Column, n_special: int = N_SPECIAL) -> Column:
     return word_count(c) + F.lit(n_special)
 
 
-def build_vocab(texts: DataFrame, text_col: str, checkpoint: bool = True) -> DataFrame:
+def build_vocab(texts: DataFrame, text_col: str) -> DataFrame:
     """Vocabulary (token, id, freq): ids by frequency desc, then a token hash.
 
-    Ranking uses the distributed dense position: the bucket key folds the
-    token hash into the frequency so equal-frequency tokens (the long tail)
-    still spread over many ranges.
+    Ranking uses the distributed dense position; the corpus is tokenized once.
     """
     toks = texts.select(F.explode(word_tokens(F.col(text_col))).alias("token"))
     freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
-    if checkpoint:
-        # ranking needs a count and the rows themselves: tokenize the corpus once
-        freq = cut_lineage(freq)
-    h = hash52(F.col("token"))
-    keyed = freq.withColumn("__h", h).withColumn("__k", -F.col("freq").cast("double") + F.col("__h") / F.lit(2.0**53))
-    ranked = with_row_pos(keyed, ["__k", "__h", "token"], "__pos")
-    vocab = ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq")
-    # the vocabulary is looked up several times (encode, decode, size checks):
-    # materialise it once in the shared checkpoint folder
-    return cut_lineage(vocab) if checkpoint else vocab
-
-
-def _maybe_broadcast(vocab: DataFrame) -> DataFrame:
-    return F.broadcast(vocab) if vocab.count() <= MAX_BROADCAST_VOCAB else vocab
-
-
-HOT_SALTS = 64
-
-
-def lookup_ids(words: DataFrame, vocab: DataFrame, token_col: str = "col", salt_col: str = "pos") -> DataFrame:
-    """Join a token stream to the vocabulary (adds ``id``, null when unknown).
-
-    A vocabulary under ``MAX_BROADCAST_VOCAB`` rows is broadcast.  A larger one
-    is joined by shuffle; its frequent tokens (a word like "the" can be a
-    large share of the stream) are salted: their vocabulary rows are copied
-    ``HOT_SALTS`` times and stream rows pick a copy by ``salt_col``, so no
-    single task receives every occurrence of a hot token.  The hot set comes
-    from the frequencies the vocabulary already holds.
-    """
-    n = vocab.count()
-    voc = vocab.select(F.col("token").alias(token_col), "id", "freq")
-    if n <= MAX_BROADCAST_VOCAB:
-        return words.join(F.broadcast(voc.drop("freq")), token_col, "left")
-    total = vocab.agg(F.sum("freq")).first()[0] or 0
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot_limit = max(1, total // (4 * parts))  # a token worth a quarter of a partition is hot
-    hot = F.col("freq") > F.lit(hot_limit)
-    # only hot tokens are copied; the rest keep a single row with salt 0
-    salted_voc = voc.filter(~hot).withColumn("__salt", F.lit(0)).unionByName(
-        voc.filter(hot).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))))
-    )
-    hot_tokens = voc.filter(hot).select(token_col, F.lit(True).alias("__hot"))
-    w = words.join(F.broadcast(hot_tokens), token_col, "left")  # the hot set is small by construction
-    w = w.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.col(salt_col), F.lit(HOT_SALTS))).otherwise(F.lit(0)))
-    return w.join(salted_voc.drop("freq"), [token_col, "__salt"], "left").drop("__salt", "__hot")
+    keyed = freq.withColumn("__f", -F.col("freq")).withColumn("__h", hash52(F.col("token")))
+    ranked = with_row_pos(keyed, ["__f", "__h", "token"], "__pos")
+    # looked up several times (encode, decode): written once, of known size
+    return written(ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq"), "vocab")
 
 
 def encode_sides(
@@ -97,43 +56,42 @@ def encode_sides(
     key: str,
     sides: dict[str, tuple[Column, Column]],
     vocab: DataFrame,
-    max_len: int,
+    max_len: int | None,
 ) -> DataFrame:
     """Encode several texts per row: ``sides`` maps a name to (text, lang code).
 
     Returns ``key`` plus one ``<name>_ids`` array per side:
-    ``[lang tag] + first (max_len - 2) word ids + [eos]`` (unknown word -> unk).
-    The words are split from the whole text; only the positions kept by the
-    truncation are looked up.
+    ``[lang tag] + first (max_len - 2) word ids + [eos]`` (unknown word -> unk;
+    ``max_len`` None: all words).  ``key`` must be unique.  The rows are read
+    once and partitioned by key before their tokens are exploded; tags and eos
+    are added to the regrouped arrays.
     """
     tags = lang_tag_ids()
     names = list(sides)
-    stream = df.select(
+    keep = None if max_len is None else max(max_len - N_SPECIAL, 0)
+    rows = df.select(
         F.col(key).alias("__key"),
-        F.explode(F.array(*[
-            F.struct(F.lit(n).alias("side"), txt.alias("text"), code.alias("code")) for n, (txt, code) in sides.items()
-        ])).alias("s"),
-    )
-    # the whole text is tokenized; only the positions the truncation keeps are exploded
-    kept = F.slice(word_tokens(F.col("s.text")), 1, max(max_len - N_SPECIAL, 0))
-    words = stream.select("__key", F.col("s.side").alias("side"), F.posexplode(kept))
-    word_ids = lookup_ids(words, vocab).select(
-        "__key", "side", "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")
-    )
-    tag_rows = stream.select(
-        "__key", F.col("s.side").alias("side"), F.lit(-1).alias("pos"),
-        F.coalesce(F.element_at(tags, F.col("s.code")), F.lit(UNK_ID)).cast("long").alias("id"),
-    )
-    allrows = word_ids.select("__key", "side", "pos", F.col("id").cast("long")).unionByName(tag_rows)
-    g = allrows.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("side", "pos", "id"))).alias("__t"))
-    cols = [F.col("__key").alias(key)]
-    def of_side(name: str):
-        return lambda x: x["side"] == F.lit(name)
+        *[txt.alias(f"__x{i}") for i, (txt, _) in enumerate(sides.values())],
+        *[F.coalesce(F.element_at(tags, code), F.lit(UNK_ID)).cast("int").alias(f"__g{i}") for i, (_, code) in enumerate(sides.values())],
+    ).repartition("__key")
+    rows = rows.select("*", *[word_tokens(F.col(f"__x{i}"), keep).alias(f"__t{i}") for i in range(len(names))])
 
-    for n in names:
-        ids = F.transform(F.filter("__t", of_side(n)), lambda x: x["id"].cast("int"))
-        cols.append(F.concat(ids, F.array(F.lit(EOS_ID))).alias(f"{n}_ids"))
-    return g.select(*cols)
+    def of_side(i: int):
+        return lambda t, at: F.struct(F.lit(i).alias("side"), at.alias("pos"), t.alias("token"))
+
+    empty = F.array().cast("array<struct<side:int,pos:int,token:string>>")
+    stream = F.concat(*[F.coalesce(F.transform(f"__t{i}", of_side(i)), empty) for i in range(len(names))])
+    tagged = [f"__g{i}" for i in range(len(names))]
+    words = rows.select("__key", *tagged, F.explode_outer(stream).alias("w")).select("__key", *tagged, "w.side", "w.pos", "w.token")
+    found = words.join(vocab.select("token", "id"), "token", "left")
+    entry = F.when(F.col("side").isNotNull(), F.struct("side", "pos", F.coalesce("id", F.lit(UNK_ID)).cast("int").alias("id")))
+    g = found.groupBy("__key").agg(F.sort_array(F.collect_list(entry)).alias("__all"), *[F.first(t).alias(t) for t in tagged])
+
+    def ids_of(i: int) -> Column:
+        return F.transform(F.filter("__all", lambda x: x["side"] == i), lambda x: x["id"])
+
+    cols = [F.concat(F.array(F.col(f"__g{i}")), ids_of(i), F.array(F.lit(EOS_ID))).alias(f"{n}_ids") for i, n in enumerate(names)]
+    return g.select(F.col("__key").alias(key), *cols)
 
 
 def pad_to(ids: Column, length: int, pad: int) -> Column:
@@ -149,7 +107,10 @@ def encode_pairs(
     df: DataFrame, key: str, src: tuple[Column, Column], tgt: tuple[Column, Column], vocab: DataFrame,
     max_len: int, pad: bool = True,
 ) -> DataFrame:
-    """R2 (``pad=True``, padded to ``max_len`` with mask) and R3 (ragged)."""
+    """R2 (``pad=True``, padded to ``max_len`` with mask) and R3 (ragged; a null
+    text is stringified to ``'None'`` before it is encoded)."""
+    if not pad:
+        src, tgt = [(F.coalesce(text, F.lit(NULL_TEXT)), code) for text, code in (src, tgt)]
     enc = encode_sides(df, key, {"src": src, "tgt": tgt}, vocab, max_len)
     if pad:
         return enc.select(
@@ -189,14 +150,15 @@ def argmax(c: Column) -> Column:
 def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out: str = "text") -> DataFrame:
     """``batch_decode(skip_special_tokens=True)``: ids -> words joined by ' '.
 
-    Special and unknown ids are skipped; a row with only specials decodes to ''.
+    Special ids are dropped from the array before it is exploded, unknown ids
+    after the lookup; a row without words decodes to ''.  ``key`` must be unique.
     """
-    voc = _maybe_broadcast(vocab.select(F.col("id").cast("int").alias("col"), F.col("token")))
-    ex = df.select(F.col(key).alias("__key"), F.posexplode_outer(F.col(ids_col)))
-    toks = ex.join(voc, "col", "left")
-    g = toks.groupBy("__key").agg(
-        F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("__t")
-    )
+    voc = vocab.select(F.col("id").cast("int").alias("col"), F.col("token"))
+    rows = df.select(F.col(key).alias("__key"), F.col(ids_col).alias("__i")).repartition("__key")
+    kept = rows.select("__key", F.posexplode_outer(F.filter("__i", lambda x: x >= FIRST_WORD_ID)))
+    toks = kept.join(voc, "col", "left")
+    word = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
+    g = toks.groupBy("__key").agg(F.sort_array(F.collect_list(word)).alias("__t"))
     return g.select(F.col("__key").alias(key), F.array_join(F.transform("__t", lambda x: x["token"]), " ").alias(out))
 
 

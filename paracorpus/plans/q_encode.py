@@ -13,8 +13,8 @@ from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.plans import sqltext as sq
 from paracorpus.plans.base import register
 
-MAX_LEN_PADDED = 64
-MAX_LEN_RAGGED = 256
+MAX_LEN_PADDED = 512
+MAX_LEN_RAGGED = 512
 CLIP_VOCAB = 5
 BATCH = 16
 
@@ -39,7 +39,7 @@ def _vocab(spark, sf):
 
 
 def _encoded(spark, sf, max_len, pad):
-    p = _nn_pairs(spark, sf)
+    p = _nn_pairs(spark, sf) if pad else fx.pairs(spark, sf)  # ragged: a missing text is encoded as a word
     return encode.encode_pairs(
         p, "row_id", (F.col("english"), F.lit(SRC_CODE)), (F.col("darija_ar"), F.lit(TGT_CODE)), _vocab(spark, sf), max_len, pad
     )
@@ -47,10 +47,13 @@ def _encoded(spark, sf, max_len, pad):
 
 def _encode_sql(max_len: int, pad: bool) -> str:
     keep = max_len - 2
-    ctes = f""", nn AS (SELECT * FROM pairs WHERE english IS NOT NULL AND darija_ar IS NOT NULL),
+    some = "english IS NOT NULL AND darija_ar IS NOT NULL"
+    null = encode.NULL_TEXT
+    rows = f"SELECT * FROM nn0 WHERE {some}" if pad else f"SELECT row_id, coalesce(english, '{null}') AS english, coalesce(darija_ar, '{null}') AS darija_ar FROM pairs"
+    ctes = f""", nn0 AS (SELECT * FROM pairs WHERE {some}), nn AS ({rows}),
 vocab AS (SELECT token, row_number() OVER (ORDER BY freq DESC, h, token) - 1 + {FIRST_WORD_ID} AS id
   FROM (SELECT token, count(*) AS freq, {hash52_sql('token')} AS h FROM
-        (SELECT unnest({sq.tokens('english')}) AS token FROM nn UNION ALL SELECT unnest({sq.tokens('darija_ar')}) FROM nn) x
+        (SELECT unnest({sq.tokens('english')}) AS token FROM nn0 UNION ALL SELECT unnest({sq.tokens('darija_ar')}) FROM nn0) x
         GROUP BY token) f),
 toks AS (SELECT row_id, side, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS pos FROM
   (SELECT row_id, 'src' AS side, {sq.tokens('english')} AS l FROM nn UNION ALL
@@ -89,8 +92,9 @@ def q_encode_pairs_ragged(spark, sf):
               "FROM pairs WHERE english IS NOT NULL AND darija_ar IS NOT NULL"),
 )
 def q_decode_ids(spark, sf):
-    enc = _encoded(spark, sf, MAX_LEN_RAGGED, False)
-    return encode.decode_ids(enc, "row_id", "input_ids", _vocab(spark, sf))
+    p, vocab = _nn_pairs(spark, sf), _vocab(spark, sf)
+    enc = encode.encode_sides(p, "row_id", {"input": (F.col("english"), F.lit(SRC_CODE))}, vocab, MAX_LEN_RAGGED)
+    return encode.decode_ids(enc, "row_id", "input_ids", vocab)
 
 
 @register(

@@ -32,6 +32,14 @@ def char_model_lower(texts: pd.Series, target: str) -> pd.Series:
     return texts.map(lambda t: t.lower().translate(_TABLE))
 
 
+def half_model(texts: pd.Series, target: str) -> pd.Series:
+    """Fails a whole batch for any text of odd length."""
+    if (texts.str.len() % 2).any():
+        raise ValueError("text of odd length")
+    return char_model(texts, target)
+
+
+HALF_MODEL = PyModel("org/half-v1", 16, half_model)
 BENCH_PY_MODELS = [PyModel("org/char-v1", 16, char_model), PyModel("org/char-v2", 64, char_model_lower)]
 A, B = f"'{LATIN_LETTERS}'", f"'{ARABIC_LETTERS}'"
 
@@ -71,8 +79,7 @@ ON x.row_id = b.item_id AND x.tgt_lang = g.tgt_lang""",
 @register("translate_fanout", _FANOUT_SQL)
 def q_translate_fanout(spark, sf):
     b = fx.bench(spark, sf).select("row_id", "english")
-    long = translate.fanout(b, "row_id", NLLB_CODES)
-    return translate.lexicon_translate(long, ["row_id", "tgt_lang"], "english", lexicon_multi(spark, sf), lang_col="tgt_lang")
+    return translate.lexicon_fanout(b, "row_id", "english", lexicon_multi(spark, sf), NLLB_CODES)
 
 
 FLAKY_LANG = "deu_Latn"
@@ -87,20 +94,20 @@ def flaky_model(texts: pd.Series, target: str) -> pd.Series:
 def _progressive(spark, sf):
     path = scratch_path(spark, "fanout")
     b = fx.bench(spark, sf).select("row_id", "english")
-    langs = NLLB_CODES[:4]
+    langs = NLLB_CODES
     translate.translate_progressive(b, "row_id", "english", PyModel("org/flaky", 32, flaky_model), langs, path, attempt=0)
     translate.translate_progressive(b, "row_id", "english", PyModel("org/char-v1", 32, char_model), langs, path, attempt=1)
     return path, langs
 
 
-_LANGS4 = ", ".join(repr(c) for c in NLLB_CODES[:4])
+_ALL_LANGS = ", ".join(repr(c) for c in NLLB_CODES)
 
 
 @register(
     "fanout_checkpoint",
     f"""SELECT tgt_lang, attempt, status, count(*) AS n_rows FROM (
   SELECT g.tgt_lang, 0 AS attempt, CASE WHEN g.tgt_lang = '{FLAKY_LANG}' THEN 'error' ELSE 'ok' END AS status
-  FROM benchmark CROSS JOIN (SELECT unnest([{_LANGS4}]) AS tgt_lang) g
+  FROM benchmark CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g
   UNION ALL SELECT '{FLAKY_LANG}', 1, 'ok' FROM benchmark) t GROUP BY ALL""",
 )
 def q_fanout_checkpoint(spark, sf):
@@ -114,7 +121,7 @@ def q_fanout_checkpoint(spark, sf):
     f"""SELECT g.tgt_lang, 'ok' AS status, count(*) AS n_rows,
   count(*) FILTER (WHERE g.tgt_lang = '{FLAKY_LANG}') AS n_retried,
   count(*) FILTER (WHERE translate(b.text, {A}, {B}) IS NOT NULL) AS n_translated
-FROM benchmark b CROSS JOIN (SELECT unnest([{_LANGS4}]) AS tgt_lang) g GROUP BY ALL""",
+FROM benchmark b CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g GROUP BY ALL""",
 )
 def q_translate_retry_pending(spark, sf):
     path, _ = _progressive(spark, sf)
@@ -129,54 +136,64 @@ def q_translate_retry_pending(spark, sf):
 # ------------------------------------------------------------------ sinks and scans
 
 
-def _written(spark, sf, partition_cols=("split",)):
-    path = scratch_path(spark, "dataset")
-    train = _pairs_tok(spark, sf)
-    test = fx.bench(spark, sf).select("row_id", "english", F.col("darija").alias("darija_ar")).withColumn(
+def _test_rows(spark, sf):
+    return fx.bench(spark, sf).select("row_id", "english", F.col("darija").alias("darija_ar")).withColumn(
         "darija_tokens", encode.token_count(F.col("darija_ar"))
     )
-    if "config" in partition_cols:
-        data = (
-            train.withColumn("split", F.lit("train")).withColumn("config", F.lit("train"))
-            .unionByName(test.withColumn("split", F.lit("test")).withColumn("config", F.lit("test")), allowMissingColumns=True)
-        )
-        ds.write_dataset(data, path, "configs", partition_cols=tuple(partition_cols), tokens_col="darija_tokens")
-    else:
-        ds.write_dataset({"train": train, "test": test}, path, "splits", tokens_col="darija_tokens")
+
+
+def _written(spark, sf):
+    path = scratch_path(spark, "dataset")
+    ds.write_dataset({"train": _pairs_tok(spark, sf), "test": _test_rows(spark, sf)}, path, "splits", tokens_col="darija_tokens")
     return path
 
 
-_SPLITS_SQL = with_ctes(
-    "pairs", "bench",
-    body=f"SELECT 'train' AS split, count(*) AS n_rows, sum(darija_tokens) AS total_tokens FROM ({PAIRS_TOK_SQL}) t "
-    f"UNION ALL SELECT 'test', count(*), sum({sq.token_count('darija')}) FROM bench",
-)
+_TEST_SQL = f"SELECT row_id, english, darija AS darija_ar, NULL::VARCHAR AS dataset_source, {sq.token_count('darija')} AS darija_tokens FROM bench"
+_SPLITS_SQL = with_ctes("pairs", "bench", body=f"SELECT *, 'train' AS split FROM ({PAIRS_TOK_SQL}) t UNION ALL BY NAME SELECT *, 'test' AS split FROM ({_TEST_SQL}) u")
 
 
-@register("sink_roundtrip", _SPLITS_SQL)
+@register(
+    "sink_roundtrip",
+    with_ctes("pairs", "bench", body=f"SELECT 'splits' AS message, count(*) AS rows, sum(darija_tokens) AS tokens FROM "
+              f"(SELECT darija_tokens FROM ({PAIRS_TOK_SQL}) t UNION ALL SELECT darija_tokens FROM ({_TEST_SQL}) u) v"),
+)
 def q_sink_roundtrip(spark, sf):
-    df = ds.read_all_splits(spark, _written(spark, sf))
-    return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("darija_tokens").alias("total_tokens"))
+    """The commit note beside the written splits."""
+    notes = spark.read.text(_written(spark, sf) + "_notes")
+    return notes.select(F.from_json("value", "message string, rows long, tokens long").alias("n")).select("n.*")
 
 
 @register("scan_all_splits", _SPLITS_SQL)
 def q_scan_all_splits(spark, sf):
-    return q_sink_roundtrip(spark, sf)
+    return ds.read_all_splits(spark, _written(spark, sf))
 
 
-@register(
-    "scan_split",
-    with_ctes("pairs", body=f"SELECT count(*) AS n_rows, sum(darija_tokens) AS total_tokens FROM ({PAIRS_TOK_SQL}) t"),
-)
+@register("scan_split", with_ctes("pairs", body=PAIRS_TOK_SQL))
 def q_scan_split(spark, sf):
-    df = ds.read_split(spark, _written(spark, sf), "train")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("darija_tokens").alias("total_tokens"))
+    return ds.read_split(spark, _written(spark, sf), "train")
+
+
+@register("scan_config", with_ctes("pairs", body=f"SELECT *, 'train' AS split FROM ({PAIRS_TOK_SQL}) t"))
+def q_scan_config(spark, sf):
+    return ds.read_config(spark, _two_configs(spark, sf), "train")
+
+
+def _two_configs(spark, sf):
+    """Two configs in one dataset; then one of them is written again."""
+    path = scratch_path(spark, "configs")
+    train = _pairs_tok(spark, sf).withColumn("split", F.lit("train")).withColumn("config", F.lit("train"))
+    test = _test_rows(spark, sf).withColumn("split", F.lit("test")).withColumn("config", F.lit("test"))
+    by = ("config", "split")
+    ds.write_dataset(train.unionByName(test, allowMissingColumns=True), path, "both configs", by, "darija_tokens")
+    again = test.withColumn("english", F.concat("english", F.lit(" again"))).withColumn("dataset_source", F.lit(None).cast("string"))
+    ds.write_dataset(again, path, "test again", by, "darija_tokens")
+    return path
 
 
 @register(
-    "scan_config",
-    with_ctes("pairs", body=f"SELECT 'train' AS split, count(*) AS n_rows, sum(darija_tokens) AS total_tokens FROM ({PAIRS_TOK_SQL}) t"),
+    "sink_config_overwrite",
+    with_ctes("pairs", "bench", body=f"SELECT *, 'train' AS config, 'train' AS split FROM ({PAIRS_TOK_SQL}) t UNION ALL BY NAME "
+              f"SELECT row_id, concat(english, ' again') AS english, darija_ar, dataset_source, darija_tokens, 'test' AS config, 'test' AS split FROM ({_TEST_SQL}) u"),
 )
-def q_scan_config(spark, sf):
-    df = ds.read_config(spark, _written(spark, sf, ("config", "split")), "train")
-    return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("darija_tokens").alias("total_tokens"))
+def q_sink_config_overwrite(spark, sf):
+    return ds.read_all_splits(spark, _two_configs(spark, sf))

@@ -14,14 +14,14 @@ from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.plans import pipelines as pl
 from paracorpus.plans import sqltext as sq
 from paracorpus.plans.base import MAX_TOKENS, SAMPLE_N, SEED, WIDE_LANGS, register
-from paracorpus.plans.q_io import BENCH_PY_MODELS
+from paracorpus.plans.q_io import BENCH_PY_MODELS, HALF_MODEL, NLLB_CODES, lexicon_multi
 from paracorpus.plans.q_metrics import _r, _tok13a_sql, bleu_sql, scores_sql, stats_sql
 from paracorpus.plans.q_sample import _conv_sql, _pair_sql
 
 A, B = fx.A, fx.B
-ANY_MAX_LEN = 128
+ANY_MAX_LEN = 512
 V1_TEST_SIZE = 0.01
-V1_MAX_LEN = 256
+V1_MAX_LEN = 512
 
 # ------------------------------------------------------------------ Spark inputs
 
@@ -35,7 +35,7 @@ def _q2(spark, sf):
 
 
 def _q4(spark, sf):
-    return pl.train_test(_q2(spark, sf), pl.doda_view(fx.bench(spark, sf)), fx.bench(spark, sf), fx.bad_sources(spark))
+    return pl.train_test(_q2(spark, sf), pl.audio_view(fx.bench(spark, sf)), fx.bench(spark, sf), fx.bad_sources(spark))
 
 
 # ------------------------------------------------------------------ SQL building blocks
@@ -68,13 +68,14 @@ _BAD = ", ".join(f"'{s}'" for s in BAD_SOURCES)
 Q4_CTES = Q2_CTES + f""",
 b4 AS (SELECT english, darija_ar AS darija_Arab, '' AS darija_Latn, dataset_source, id, role, row_id, 0 AS part FROM q2
     WHERE dataset_source IS DISTINCT FROM '{pl.BASE_EXCLUDED_SOURCE}'),
-d4 AS (SELECT english, darija AS darija_Arab, {transliterate_sql('darija')} AS darija_Latn, '{pl.DODA_SOURCE}' AS dataset_source,
+d4 AS (SELECT english, darija AS darija_Arab, {transliterate_sql('darija')} AS darija_Latn, '{pl.AUDIO_SOURCE}' AS dataset_source,
     '' AS id, '' AS role, row_id + 2000000000 AS row_id, 1 AS part FROM bench),
 u4 AS (SELECT * FROM b4 UNION ALL SELECT * FROM d4),
 tr AS (SELECT * EXCLUDE (part) FROM {_keep_first('(SELECT * FROM u4 WHERE english IS NOT NULL AND darija_Arab IS NOT NULL)', 'english, darija_Arab', 'part, row_id')} k),
 train4 AS (SELECT *, {sq.token_count('darija_Arab')} AS darija_tokens FROM tr
     WHERE dataset_source IS NULL OR dataset_source NOT IN ({_BAD})),
-test4 AS (SELECT '' AS dataset_source, {sq.token_count('darija')} AS darija_tokens FROM bench)"""
+test4 AS (SELECT english, darija AS darija_Arab, arabizi AS darija_Latn, '' AS dataset_source, '' AS id, '' AS role, row_id,
+    {sq.token_count('darija')} AS darija_tokens, topic, subtopic, annotator_dialect FROM bench)"""
 
 
 @register("pipeline_clean_source", with_ctes("pairs", body=Q1_CTES + " SELECT * FROM q1"))
@@ -104,31 +105,62 @@ def q_pipeline_pretrain_text(spark, sf):
 @register(
     "pipeline_train_test",
     with_ctes("pairs", "prior_pairs", "bench", body=Q4_CTES + """
-SELECT split, dataset_source, count(*) AS n_rows, sum(darija_tokens) AS total_tokens FROM (
-  SELECT 'train' AS split, dataset_source, darija_tokens FROM train4 UNION ALL SELECT 'test', dataset_source, darija_tokens FROM test4) t
-GROUP BY ALL"""),
+SELECT 'train' AS split, english, darija_Arab, darija_Latn, dataset_source, id, role, row_id, darija_tokens,
+  '' AS topic, '' AS subtopic, '' AS annotator_dialect FROM train4
+UNION ALL SELECT 'test', english, darija_Arab, darija_Latn, dataset_source, id, role, row_id, darija_tokens, topic, subtopic,
+  annotator_dialect FROM test4"""),
 )
 def q_pipeline_train_test(spark, sf):
-    df = _q4(spark, sf)
-    return df.groupBy("split", "dataset_source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("darija_tokens").alias("total_tokens"))
+    return _q4(spark, sf)
 
 
 def _q5_sql() -> str:
     u = uniform_sql("row_id", repr(str(SEED)))
     return Q4_CTES + f""",
-pool AS (SELECT * FROM train4 WHERE darija_tokens < {MAX_TOKENS} AND dataset_source IS DISTINCT FROM '{pl.DODA_SOURCE}'),
+pool AS (SELECT * FROM train4 WHERE darija_tokens < {MAX_TOKENS} AND dataset_source IS DISTINCT FROM '{pl.AUDIO_SOURCE}'),
 drawn AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY ln(-ln({u})) - darija_tokens / (SELECT avg(darija_tokens) FROM pool), row_id) AS draw_rank
     FROM pool) t WHERE draw_rank <= {SAMPLE_N})
 SELECT row_id, english, darija_Arab AS ary_Arab, darija_Latn AS ary_Latn, darija_tokens AS ary_tokens, dataset_source, draw_rank FROM drawn
-UNION ALL SELECT row_id, english, darija_Arab, darija_Latn, darija_tokens, dataset_source, NULL FROM train4 WHERE dataset_source = '{pl.DODA_SOURCE}'"""
+UNION ALL SELECT row_id, english, darija_Arab, darija_Latn, darija_tokens, dataset_source, NULL FROM train4 WHERE dataset_source = '{pl.AUDIO_SOURCE}'"""
 
 
-@register("pipeline_sample", with_ctes("pairs", "prior_pairs", "bench", body=_q5_sql()))
-def q_pipeline_sample(spark, sf):
+def _q5(spark, sf):
     train = _q4(spark, sf).filter(F.col("split") == "train")
     return pl.weighted_training_sample(train, SAMPLE_N, SEED, MAX_TOKENS)
 
 
+@register("pipeline_sample", with_ctes("pairs", "prior_pairs", "bench", body=_q5_sql()))
+def q_pipeline_sample(spark, sf):
+    return _q5(spark, sf)
+
+
+def _q5_stats_sql() -> str:
+    ctes, _, body = _q5_sql().rpartition("\nSELECT row_id, english, darija_Arab AS ary_Arab")
+    t = "ary_tokens"
+    r = lambda e, d=4: f"round_even({e}, {d})"
+    return f"""{ctes},
+smp AS (SELECT row_id, english, darija_Arab AS ary_Arab{body}),
+tot AS (SELECT count(*)::DOUBLE AS n, sum({t})::DOUBLE AS s, avg({t}) AS m, stddev_pop({t}) AS sd, min({t})::DOUBLE AS lo0, max({t})::DOUBLE AS hi0 FROM smp),
+rng AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM tot),
+gaps AS (SELECT row_id - lag(row_id) OVER (ORDER BY row_id) AS gap FROM smp WHERE draw_rank IS NOT NULL),
+gs AS (SELECT count(gap)::DOUBLE AS n_gaps, avg(gap) AS mean_gap, min(gap)::DOUBLE AS min_gap, max(gap)::DOUBLE AS max_gap,
+  (count(*) FILTER (WHERE gap = 1))::DOUBLE AS consecutive FROM gaps),
+hist AS (SELECT least(floor(({t}::DOUBLE - lo) * 50.0::DOUBLE / (hi - lo))::INT, 49) + 1 AS bin, count(*)::DOUBLE AS c FROM smp, rng GROUP BY 1)
+SELECT 'n_rows' AS metric, n AS value FROM tot UNION ALL SELECT 'total_tokens', s FROM tot
+UNION ALL SELECT 'tokens_n', n FROM tot UNION ALL SELECT 'tokens_mean', {r('m')} FROM tot UNION ALL SELECT 'tokens_std', {r('sd')} FROM tot
+UNION ALL SELECT 'tokens_upper', {r('m + sd')} FROM tot UNION ALL SELECT 'tokens_lower', CASE WHEN m - sd > 0 THEN {r('m - sd')} END FROM tot
+UNION ALL SELECT 'index_n_gaps', n_gaps FROM gs UNION ALL SELECT 'index_mean_gap', {r('mean_gap')} FROM gs
+UNION ALL SELECT 'index_min_gap', min_gap FROM gs UNION ALL SELECT 'index_max_gap', max_gap FROM gs
+UNION ALL SELECT 'index_consecutive', consecutive FROM gs
+UNION ALL SELECT 'index_pct_consecutive', {r('100.0::DOUBLE * consecutive / n_gaps', 1)} FROM gs
+UNION ALL SELECT 'bin_' || lpad(b::VARCHAR, 2, '0'), coalesce(c, 0.0) FROM range(1, 51) t(b) LEFT JOIN hist ON hist.bin = t.b"""
+
+
+@register("pipeline_sample_stats", with_ctes("pairs", "prior_pairs", "bench", body=_q5_stats_sql()))
+def q_pipeline_sample_stats(spark, sf):
+    return pl.sample_report(_q5(spark, sf))
+
+
 # ------------------------------------------------------------------ Q6 any-to-any
 
 
@@ -175,6 +207,35 @@ def q_pipeline_any_to_any(spark, sf):
     return pl.any_to_any(fx.wide(spark, sf), WIDE_LANGS, _wide_vocab(spark, sf), SEED, ANY_MAX_LEN)
 
 
+def _test_vocab(spark, sf):
+    """Words of the bench and of every lexicon output."""
+    words = lexicon_multi(spark, sf).select(F.col("out").alias("t"))
+    return encode.build_vocab(fx.bench(spark, sf).select(F.col("english").alias("t")).unionByName(words), "t")
+
+
+def _q6_test_sql() -> str:
+    keep = ANY_MAX_LEN - 2
+    codes = ", ".join(repr(c) for c in NLLB_CODES)
+    return f""", langs AS (SELECT unnest([{codes}]) AS tgt_lang),
+vocab AS (SELECT token, row_number() OVER (ORDER BY freq DESC, h, token) - 1 + {FIRST_WORD_ID} AS id
+  FROM (SELECT token, count(*) AS freq, {hash52_sql('token')} AS h FROM (SELECT unnest({sq.tokens('english')}) AS token FROM bench
+    UNION ALL SELECT unnest({sq.tokens("tgt_lang || ':' || out")}) FROM lexicon CROSS JOIN langs) x GROUP BY token) f),
+w AS (SELECT row_id, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM (SELECT row_id, {sq.tokens('english')} AS l FROM bench) b),
+src AS (SELECT w.row_id, list(coalesce(v.id, {UNK_ID}) ORDER BY w.pos) AS l FROM w LEFT JOIN vocab v ON v.token = w.word WHERE w.pos <= {keep} GROUP BY w.row_id),
+tr AS (SELECT w.row_id, g.tgt_lang, w.pos, coalesce(g.tgt_lang || ':' || x.out, w.word) AS word
+  FROM w CROSS JOIN langs g LEFT JOIN lexicon x ON x.word = w.word WHERE w.pos <= {keep}),
+tgt AS (SELECT tr.row_id, tr.tgt_lang, list(coalesce(v.id, {UNK_ID}) ORDER BY tr.pos) AS l FROM tr LEFT JOIN vocab v ON v.token = tr.word GROUP BY ALL),
+enc AS (SELECT b.row_id, g.tgt_lang, list_concat([{_tag_case("'eng_Latn'")}], coalesce(s.l, []), [{EOS_ID}]) AS input_ids,
+  list_concat([{_tag_case('g.tgt_lang')}], coalesce(t.l, []), [{EOS_ID}]) AS labels
+  FROM bench b CROSS JOIN langs g LEFT JOIN src s ON s.row_id = b.row_id LEFT JOIN tgt t ON t.row_id = b.row_id AND t.tgt_lang = g.tgt_lang)
+SELECT row_id, tgt_lang, input_ids, list_transform(input_ids, lambda x: 1) AS attention_mask, labels FROM enc"""
+
+
+@register("pipeline_any_to_any_test", with_ctes("bench", "lexicon", body=_q6_test_sql()))
+def q_pipeline_any_to_any_test(spark, sf):
+    return pl.any_to_any_test(fx.bench(spark, sf), lexicon_multi(spark, sf), NLLB_CODES, _test_vocab(spark, sf), ANY_MAX_LEN)
+
+
 # ------------------------------------------------------------------ Q7 .. Q9
 
 _CHAT_SQL = "SELECT row_id, " + " || ".join(
@@ -190,17 +251,19 @@ def q_pipeline_sft(spark, sf):
 _BENCH_SQL = with_ctes(
     "bench",
     body=f""", tr AS (SELECT row_id, 'org/char-v1' AS model, translate(english, {A}, {B}) AS hyp, darija AS ref FROM bench
-  UNION ALL SELECT row_id, 'org/char-v2', translate(lower(english), {A}, {B}), darija FROM bench),
-stripped AS (SELECT row_id, model, {sq.strip_punct('hyp')} AS hyp, {sq.strip_punct('ref')} AS ref FROM tr)
-SELECT string_split(model, '/')[-1] AS label, count(*) AS n_sentences, {_r('avg(bleu)')} AS BLEU, {_r('avg(chrf)')} AS chrF,
-  {_r('avg(ter)')} AS TER FROM {scores_sql()} s GROUP BY 1""",
+  UNION ALL SELECT row_id, 'org/char-v2', translate(lower(english), {A}, {B}), darija FROM bench
+  UNION ALL SELECT row_id, '{HALF_MODEL.name}', CASE WHEN length(english) % 2 = 0 THEN translate(english, {A}, {B}) END, darija FROM bench),
+stripped AS (SELECT row_id, model, {sq.strip_punct("coalesce(hyp, '')")} AS hyp, {sq.strip_punct('ref')} AS ref, hyp IS NULL AS failed FROM tr)
+SELECT string_split(s.model, '/')[-1] AS label, count(*) AS n_sentences, count(*) FILTER (WHERE f.failed) AS n_errors, {_r('avg(bleu)')} AS BLEU,
+  {_r('avg(chrf)')} AS chrF, {_r('avg(word_edit_rate)')} AS word_edit_rate
+FROM {scores_sql()} s JOIN stripped f ON f.row_id = s.row_id AND f.model = s.model GROUP BY 1""",
 )
 
 
 @register("pipeline_bench", _BENCH_SQL)
 def q_pipeline_bench(spark, sf):
-    lb = pl.bench_leaderboard(fx.bench(spark, sf), BENCH_PY_MODELS)
-    return lb.select("label", "n_sentences", *[F.bround(c, 4).alias(c) for c in ("BLEU", "chrF", "TER")])
+    lb = pl.bench_leaderboard(fx.bench(spark, sf), [*BENCH_PY_MODELS, HALF_MODEL])
+    return lb.select("label", "n_sentences", "n_errors", *[F.bround(c, 4).alias(c) for c in ("BLEU", "chrF", "word_edit_rate")])
 
 
 def _v1_vocab(spark, sf):
@@ -217,7 +280,10 @@ sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {hash52_sql('row_id', rep
 te AS (SELECT row_id, 'copy' AS model, {_tok13a_sql(first('english'))} AS hyp, {_tok13a_sql(first('darija_ar'))} AS ref,
   least(len({sq.tokens('english')}), {keep}) + 2 AS gl FROM sp WHERE split = 'test'),
 st AS {stats_sql('te', ['row_id', 'model'], 'hyp', 'ref', 4, 'word')}
-SELECT 'n_' || split AS metric, round_even(count(*)::DOUBLE, 4) AS value FROM sp GROUP BY split
+SELECT 'n_' || split AS metric, count(*)::DOUBLE AS value FROM sp GROUP BY split
+UNION ALL SELECT 'input_ids_' || split, sum(least(len({sq.tokens('english')}), {keep}) + 2)::DOUBLE FROM sp GROUP BY split
+UNION ALL SELECT 'labels_' || split, sum(least(len({sq.tokens('darija_ar')}), {keep}) + 2)::DOUBLE FROM sp GROUP BY split
+UNION ALL SELECT 'total_tokens', sum({sq.token_count('darija_ar')})::DOUBLE FROM sp
 UNION ALL SELECT 'bleu', {_r(bleu_sql(False))} FROM (SELECT {", ".join(f"sum({s}{k}) AS {s}{k}" for k in range(1, 5) for s in "mhr")} FROM st) t
 UNION ALL SELECT 'gen_len', {_r('avg(gl)')} FROM te"""
 
