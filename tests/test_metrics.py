@@ -100,19 +100,19 @@ def test_chrf_matches_formula(scored):
 def test_edit_rate_matches_dp(scored):
     rows, got = scored
     for rid, _, h, r in rows:
-        assert got[rid].ter == pytest.approx(py_edit_rate(h, r), abs=1e-9), (h, r)
+        assert got[rid].word_edit_rate == pytest.approx(py_edit_rate(h, r), abs=1e-9), (h, r)
 
 
 def test_fixture_values(scored):
     _, got = scored
     assert got[900].bleu == pytest.approx(100 * math.exp(-1 / 3), abs=1e-4)
     assert got[901].bleu == 0.0 and got[902].bleu == 0.0
-    assert got[904].bleu == pytest.approx(100.0) and got[904].chrf == pytest.approx(100.0) and got[904].ter == 0.0
+    assert got[904].bleu == pytest.approx(100.0) and got[904].chrf == pytest.approx(100.0) and got[904].word_edit_rate == 0.0
 
 
 def test_edit_rate_example(spark):
     df = spark.createDataFrame([(1, "the cat sat", "the dog sat down")], "row_id long, hyp string, ref string")
-    assert metrics.word_edit_rate(df, ["row_id"]).first().ter == pytest.approx(50.0)
+    assert metrics.word_edit_rate(df, ["row_id"]).first().word_edit_rate == pytest.approx(50.0)
 
 
 def test_edit_rate_many_distinct_tokens(spark):
@@ -124,7 +124,7 @@ def test_edit_rate_many_distinct_tokens(spark):
         hyp = " ".join(t if rng.random() < 0.8 else f"u{rng.randint(0, 50)}" for t in ref.split())
         rows.append((i, hyp, ref))
     df = spark.createDataFrame(rows, "row_id long, hyp string, ref string")
-    got = {r.row_id: r.ter for r in metrics.word_edit_rate(df, ["row_id"]).collect()}
+    got = {r.row_id: r.word_edit_rate for r in metrics.word_edit_rate(df, ["row_id"]).collect()}
     for i, h, r in rows:
         assert got[i] == pytest.approx(py_edit_rate(h, r), abs=1e-9)
 
@@ -138,3 +138,22 @@ def test_corpus_bleu_identity(spark):
 def test_tokenize_13a(spark):
     df = spark.createDataFrame([("Hello, world. 3.5 a-b 1-2",)], "s string")
     assert df.select(metrics.tokenize_13a(F.col("s")).alias("t")).first().t == "Hello , world . 3.5 a-b 1 - 2"
+
+
+def test_edit_rate_has_no_token_limit_and_is_fast(spark):
+    import time
+
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(32_200)), "w7")], "row_id long, hyp string, ref string")
+    assert metrics.word_edit_rate(df, ["row_id"]).first().word_edit_rate == pytest.approx(100.0 * 32_199)
+    rng = random.Random(2)
+    ref = [f"w{rng.randrange(9000)}" for _ in range(20_000)]
+    hyp = [w for w in ref if rng.random() < 0.9]
+    t0 = time.perf_counter()
+    assert metrics.word_edits(hyp, ref) == 20_000 - len(hyp)
+    assert time.perf_counter() - t0 < 20
+
+
+def test_chrf_of_long_texts(spark):
+    text = " ".join(f"word{i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text, text)], "row_id long, hyp string, ref string")
+    assert metrics.sentence_chrf(df, ["row_id"]).first().chrf == pytest.approx(100.0)

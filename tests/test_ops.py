@@ -99,10 +99,10 @@ def test_sample_prefers_heavy_rows(spark):
 
 def test_row_pos_dense_with_many_buckets(spark):
     df = spark.range(5000).select((F.col("id") * 7 % 5003).alias("k"), (F.col("id") % 3).alias("g"))
-    out = rowid.with_row_pos(df, "k", "pos", rows_per_bucket=300)
+    out = rowid.with_row_pos(df, "k", "pos", ranges=17)
     pos = sorted((r.k, r.pos) for r in out.collect())
     assert [p for _, p in pos] == list(range(5000))
-    per = rowid.with_row_pos(df, "k", "pos", partition_cols="g", rows_per_bucket=300).collect()
+    per = rowid.with_row_pos(df, "k", "pos", partition_cols="g", ranges=17).collect()
     for g in range(3):
         rows = sorted((r.k, r.pos) for r in per if r.g == g)
         assert [p for _, p in rows] == list(range(len(rows)))
@@ -150,13 +150,124 @@ def test_encode_decode_roundtrip(spark):
     assert dec == {1: "a b c", 2: ""}
 
 
-def test_salted_vocab_join_equals_plain(spark, monkeypatch):
-    from paracorpus.operators import encode as enc
+def test_shuffled_vocab_join_equals_broadcast(spark):
+    df = spark.range(300).select(F.col("id").alias("row_id"), F.concat_ws(" ", F.lit("the"), F.concat(F.lit("w"), F.col("id") % 50), F.lit("the")).alias("s"))
+    vocab = encode.build_vocab(df, "s")
 
-    words = spark.range(3000).select((F.col("id") % 7).alias("pos"),
-                                     F.when(F.col("id") % 3 == 0, "the").otherwise(F.concat(F.lit("w"), (F.col("id") % 50).cast("string"))).alias("col"))
-    vocab = enc.build_vocab(words.select(F.col("col").alias("t")), "t")
-    plain = sorted(tuple(r) for r in enc.lookup_ids(words, vocab).collect())
-    monkeypatch.setattr(enc, "MAX_BROADCAST_VOCAB", 0)  # force the shuffle + salting path
-    salted = sorted(tuple(r) for r in enc.lookup_ids(words, vocab).collect())
-    assert plain == salted and len(plain) == 3000
+    def run():
+        enc = encode.encode_sides(df, "row_id", {"x": (F.col("s"), F.lit("eng_Latn"))}, vocab, None)
+        return sorted((r.row_id, tuple(r.x_ids)) for r in enc.collect()), sorted(tuple(r) for r in encode.decode_ids(enc, "row_id", "x_ids", vocab).collect())
+
+    small = run()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert dict(small[1]) == {r.row_id: r.s for r in df.collect()}
+
+
+def test_ragged_encoding_of_a_missing_text(spark):
+    df = spark.createDataFrame([(1, "a b", None), (2, "None", "a")], "row_id long, s string, t string")
+    vocab = encode.build_vocab(df, "s")
+    enc = encode.encode_pairs(df, "row_id", (F.col("s"), F.lit("eng_Latn")), (F.col("t"), F.lit("ary_Arab")), vocab, 9, pad=False)
+    rows = {r.row_id: r for r in enc.collect()}
+    assert rows[1].labels[1:] == rows[2].input_ids[1:] and len(rows[1].labels) == 3
+
+
+def test_row_pos_keeps_null_keys_and_groups(spark):
+    df = spark.range(1000).select(
+        F.col("id"), F.when(F.col("id") % 10 > 0, F.col("id") * 7 % 1009).alias("k"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("g")
+    )
+    for ranges in (1, 10):
+        out = rowid.with_row_pos(df, ["k", "id"], "pos", ranges=ranges).collect()
+        assert sorted(r.pos for r in out) == list(range(1000))
+        assert sorted(r.pos for r in out if r.k is None) == list(range(100))  # null first
+        per = rowid.with_row_pos(df, ["k", "id"], "pos", partition_cols="g", ranges=ranges).collect()
+        for g in (None, 1, 2, 3):
+            assert sorted(r.pos for r in per if r.g == g) == list(range(250))
+    assert rowid.with_row_pos(df.limit(0), "k").count() == 0
+
+
+def test_dedup_tells_null_places_apart(spark):
+    df = spark.createDataFrame([(1, "x", None), (2, None, "x"), (3, None, "x")], "row_id long, a string, b string")
+    assert sorted(r.row_id for r in merge.dedup_keep_first(df, ["a", "b"]).collect()) == [1, 2]
+
+
+def test_tables_are_read_afresh(spark, tmp_path):
+    from paracorpus import fixtures as fx
+
+    for n in (10, 25):
+        spark.range(n).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        assert fx.table(spark, str(tmp_path), "t").count() == n
+
+
+def test_weightless_rows_are_never_drawn(spark):
+    df = spark.range(100).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") < 5, 0).when(F.col("id") < 10, None).otherwise(3).cast("int").alias("t")
+    )
+    linear = [r.row_id for r in sample.weighted_sample(df, 100, 3, "t", weighting="linear").collect()]
+    assert sorted(linear) == list(range(10, 100))
+    exp = [r.row_id for r in sample.weighted_sample(df, 5, 3, "t").collect()]
+    assert len(exp) == 5 and not set(exp) & set(range(5, 10))
+    assert sample.weighted_sample(df.limit(0), 5, 3, "t").count() == 0
+
+
+def test_first_draw_follows_the_weights(spark):
+    df = spark.createDataFrame([(0, 1), (1, 2), (2, 5)], "row_id long, t int")
+    first = [0, 0, 0]
+    for seed in range(150):
+        keys = sample.uniform(F.col("row_id"), str(seed))
+        race = F.ln(-F.ln(keys)) - F.ln("t")  # the law that draw_ranks sorts by
+        first[df.select("row_id", race.alias("k")).orderBy("k").first().row_id] += 1
+    assert abs(first[0] / 150 - 1 / 8) < 0.1 and abs(first[2] / 150 - 5 / 8) < 0.13
+    one = sample.draw_ranks(df, 1, 7, "t", weighting="linear").collect()
+    assert len(one) == 1 and one[0].draw_rank == 1
+
+
+def test_token_limit_report(spark):
+    df = spark.createDataFrame([(1, "a"), (9, "a"), (None, None), (2, "x"), (3, None)], "t int, s string")
+    assert tuple(filters.max_tokens_report(df, "t", 5, "s", "x").first()) == (2, 1, 1, 1)
+
+
+def test_sinks_leave_the_session_alone(spark, tmp_path):
+    from paracorpus.sources import dataset as ds
+
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    a = spark.createDataFrame([(1, 5, "train"), (2, 6, "test")], "row_id long, n int, split string")
+    path = str(tmp_path / "d")
+    assert ds.write_dataset(a, path, "one", tokens_col="n") == {"message": "one", "rows": 2, "tokens": 11}
+    b = a.filter("split = 'test'").withColumn("n", F.lit(7))
+    assert ds.write_dataset(b, path, "two", tokens_col="n") == {"message": "two", "rows": 1, "tokens": 7}
+    got = sorted(tuple(r) for r in ds.read_all_splits(spark, path).select("row_id", "n", "split").collect())
+    assert got == [(1, 5, "train"), (2, 7, "test")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert ds.finished_keys(spark, str(tmp_path / "none"), ["row_id"]) is None
+    assert ds.finished_keys(spark, path, ["row_id"]).count() == 2
+
+
+def test_half_failing_model(spark):
+    from paracorpus.operators import translate
+    from paracorpus.plans import pipelines
+    from paracorpus.plans.q_io import HALF_MODEL
+
+    bench = spark.createDataFrame([(i, "ab" * 3 if i % 2 else "abc", "x y") for i in range(40)], "row_id long, english string, darija string")
+    long = translate.translate_models(bench, "row_id", "english", [HALF_MODEL]).collect()
+    assert {r.row_id for r in long if r.status == "error"} == set(range(0, 40, 2))
+    assert all(r.error == "ValueError: text of odd length" for r in long if r.status == "error")
+    board = pipelines.bench_leaderboard(bench, [HALF_MODEL]).first()
+    assert (board.n_sentences, board.n_errors) == (40, 20)
+    assert board.word_edit_rate == 100.0  # a failed row is an empty hypothesis, not a missing score
+
+
+def test_progressive_sink_raises_read_failures(spark, tmp_path):
+    import pytest
+    from paracorpus.operators import translate
+    from paracorpus.plans.q_io import HALF_MODEL
+
+    path = tmp_path / "sink"
+    path.mkdir()
+    (path / "part-0.parquet").write_text("no parquet")
+    df = spark.createDataFrame([(1, "ab")], "row_id long, english string")
+    with pytest.raises(Exception):
+        translate.translate_progressive(df, "row_id", "english", HALF_MODEL, ["a"], str(path), 0)
