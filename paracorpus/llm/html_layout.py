@@ -128,6 +128,15 @@ def _start(stack: list[Node], tag: str, source: str) -> Node:
                 break
             if stack[k].tag in BLOCK:
                 break
+    if tag in ("td", "th"):  # a row is implied
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].tag in ("tr", "td", "th"):
+                break
+            if stack[k].tag in ("table", "thead", "tbody", "tfoot"):
+                row = Node("tr", {})
+                stack[k].children.append(row)
+                stack[k + 1 :] = [row]
+                break
     node = Node(tag, _attributes(source) if source.strip("/ \t\n\r\f") else {})
     stack[-1].children.append(node)
     if tag not in VOID and len(stack) < MAX_DEPTH:
@@ -280,7 +289,7 @@ def _list(node: Node, flow: Flow, ordered: bool) -> None:
     flow.block(True)
 
 
-def _only(node: Node) -> Node:
+def _only(node: Node | str) -> Node:
     holder = Node("div", {})
     holder.children = [node]
     return holder
@@ -288,18 +297,21 @@ def _only(node: Node) -> Node:
 
 def _rows(node: Node) -> Iterator[Node]:
     for child in node.children:
-        if isinstance(child, Node) and visible(child):
+        if isinstance(child, str):
+            if child.strip():
+                yield _only(child)
+        elif visible(child):
             if child.tag in ("thead", "tbody", "tfoot"):
                 yield from _rows(child)
             else:
-                yield child
+                yield child if child.tag == "tr" else _only(child)
 
 
 def _table(node: Node) -> list[str]:
     """Cells of a column start at the same place; columns are two blanks apart."""
     before, grid = [], []
     for row in _rows(node):
-        if row.tag != "tr":  # captions and what isn't in a row
+        if row.tag != "tr":  # captions, and what isn't in a row: shown before it
             inner = Flow()
             render(row, inner)
             before.extend(_closed(inner))

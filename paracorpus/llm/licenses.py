@@ -102,10 +102,14 @@ STEPS = 150
 FALSE_ALARMS = 0.002
 #: Longer paragraphs are classified in windows of so many words, half overlapping.
 WINDOW = 40
-#: Common words in order over the shorter of unit and notice, from which on it is confirmed,
-#: if this share of the shorter one's neighbouring word pairs is common as well.
-CONFIRMED = 0.8
+#: A unit's core runs from its first to its last word pair that the notice has.  It is
+#: confirmed if it holds this share of the unit, of the neighbouring word pairs of the
+#: shorter of core and notice, and of the words of the shorter one, in order.
+CORE = 0.4
 COMMON_PAIRS = 0.6
+CONFIRMED = 0.8
+#: Words that must be common: this share of the notice, or so many of a long one.
+LEAST_SHARE, LEAST_WORDS = 0.8, 10
 
 _WORDS = re.compile(r"\w+")
 
@@ -247,27 +251,37 @@ def fit(lines: list[str], seed: int = 0) -> Model:
     return model
 
 
-def matched(words: list[str], family: int) -> float:
-    """Longest common word sequence with the family's nearest notice, over the shorter of both."""
-    best = 0.0
+def compare(words: list[str], family: int) -> tuple[float, int, int]:
+    """(score, first, end): longest common word sequence of the unit's core and the
+    family's nearest notice over the shorter of both, and the core's place."""
+    best = (0.0, 0, 0)
+    pairs = list(zip(words, words[1:], strict=False))
     for notice in NOTICES[FAMILIES[family]]:
         other = words_of(notice)
-        pairs, theirs = set(zip(words, words[1:], strict=False)), set(zip(other, other[1:], strict=False))
-        if not pairs or len(pairs & theirs) < COMMON_PAIRS * min(len(pairs), len(theirs)):
+        theirs = set(zip(other, other[1:], strict=False))
+        hits = [k for k, p in enumerate(pairs) if p in theirs]
+        if not hits:
+            continue
+        first, end = hits[0], hits[-1] + 2
+        core = set(pairs[first : end - 1])
+        if end - first < CORE * len(words) or len(core & theirs) < COMMON_PAIRS * min(len(core), len(theirs)):
             continue
         row = [0] * (len(other) + 1)
-        for w in words:
+        for w in words[first:end]:
             last = 0
             for k, x in enumerate(other):
                 keep = row[k + 1]
                 row[k + 1] = last + 1 if w == x else max(keep, row[k])
                 last = keep
-        short = min(len(words), len(other))
-        if row[-1] >= min(3, len(other)):
-            best = max(best, row[-1] / short)
+        if row[-1] >= min(LEAST_SHARE * len(other), LEAST_WORDS):
+            best = max(best, (row[-1] / min(end - first, len(other)), first, end), key=lambda x: (x[0], x[2] - x[1]))
     return best
 
 
+def matched(words: list[str], family: int) -> float:
+    return compare(words, family)[0]
+
+
 def find(model: Model, text: str | None) -> tuple[int, list[tuple[int, int, str, float]]]:
     """(paragraphs, confirmed (start, end, family, probability)) of a text."""
     if not text:
@@ -290,11 +304,14 @@ def find(model: Model, text: str | None) -> tuple[int, list[tuple[int, int, str,
     top = p[np.arange(len(p)), family]
     spans: list[tuple[int, int, str, float]] = []
     for k in np.flatnonzero((top >= model.least) & (top > p[:, UNKNOWN])):
-        if matched(words[begin[k] : end[k]], family[k]) < CONFIRMED:
+        score, low, high = compare(words[begin[k] : end[k]], family[k])
+        if score < CONFIRMED:
             continue
         start, line, a = units[k]
         places = [m.span() for m in _WORDS.finditer(line)]
-        first, last = start + places[a][0], start + places[min(a + end[k] - begin[k], len(places)) - 1][1]
+        if len(places) != len(words_of(line)):  # case folding that changes words: the whole line
+            places = [(0, len(line))] * len(words_of(line))
+        first, last = start + places[a + low][0], start + places[a + high - 1][1]
         name = FAMILIES[family[k]]
         if spans and spans[-1][2] == name and spans[-1][1] >= first:  # windows of one paragraph
             spans[-1] = (spans[-1][0], last, name, max(spans[-1][3], float(top[k])))

@@ -8,7 +8,8 @@ per target, its solution tilts the base rates exponentially,
 multipliers: every iteration is one distributed aggregation of the tilted token
 sums (dual gradient) and their uncapped part (dual curvature).  Rates are then
 rounded to whole copies by systematic sampling along each group's documents in
-descending size, with the phase that leaves the smallest residual.
+descending size, with the phase that leaves the smallest residual; a few
+documents of each size class then make up what is left of it.
 
 Only DataFrame functions are used on this path.
 """
@@ -22,6 +23,8 @@ from paracorpus.llm.common import spill, with_positions, word_count
 
 #: Phases of the systematic sampling that are compared per group.
 PHASES = 64
+#: Documents per group, direction and power of two of sizes that may make up a residual.
+SPARE = 4
 MAX_NEWTON = 60
 TOLERANCE = 1e-9
 
@@ -184,18 +187,57 @@ def mix(
     phases = spill(sums.select(F.col("g").alias("pg"), F.array_min(misses)["phase"].alias("phase")), "mix_phase")
     chosen = rated.join(phases, F.col("g").eqNullSafe(F.col("pg")))
     copies = F.least(_copies(F.col("rate"), F.col("rank"), F.col("phase")), F.lit(cap))
-    return chosen.select(
+    rounded = spill(
+        chosen.select("doc_id", "grp", "size", "total", "target", "rate", copies.alias("copies"), "tie", "pos"), "mix_rounded"
+    )
+    fixes = spill(_made_up(rounded, cap), "mix_fixes")
+    final = rounded.join(fixes, "pos", "left").withColumn("copies", F.col("copies") + F.coalesce("change", F.lit(0)))
+    return final.select(
         "doc_id",
         "size",
         F.col("total").alias("source_size"),
         "target",
         "rate",
-        copies.alias("copies"),
-        (F.col("size") * copies).cast("long").alias("taken"),
+        "copies",
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"),
         "tie",
     )
 
 
+def _made_up(rounded: DataFrame, cap: int) -> DataFrame:
+    """(pos, change): documents that get a copy more or fewer, so that each group's
+    residual falls below its smallest spare document.
+
+    The spare documents of a group are ``SPARE`` per size class, a number that
+    doesn't grow with the group; a fold over them in descending size takes each
+    one that still fits.
+    """
+    left = rounded.groupBy("grp").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("gap"))
+    left = left.select(F.col("grp").alias("g"), "gap", F.when(F.col("gap") > 0, 1).otherwise(-1).alias("sign"))
+    near = rounded.join(left, F.col("grp").eqNullSafe(F.col("g"))).filter(
+        (F.col("size") > 0)
+        & (F.col("size") <= F.abs("gap"))
+        & F.when(F.col("sign") > 0, (F.col("copies") < cap) & (F.col("rate") > 0)).otherwise(F.col("copies") > 0)
+    )
+    near = near.withColumn("class", F.floor(F.log2("size")).cast("int"))
+    order = Window.partitionBy("g", "class").orderBy("pos")
+    spare = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SPARE)
+    pool = spare.groupBy("g").agg(
+        F.first(F.abs("gap")).alias("gap"), F.first("sign").alias("sign"), F.sort_array(F.collect_list(F.struct("size", "pos")), asc=False).alias("pool")
+    )
+    zero = F.struct(F.col("gap").alias("left"), F.array().cast("array<bigint>").alias("taken"))
+
+    def take(acc: Column, x: Column) -> Column:
+        fits = x["size"] <= acc["left"]
+        return F.struct(
+            F.when(fits, acc["left"] - x["size"]).otherwise(acc["left"]).alias("left"),
+            F.when(fits, F.concat(acc["taken"], F.array(x["pos"]))).otherwise(acc["taken"]).alias("taken"),
+        )
+
+    taken = F.aggregate("pool", zero, take, lambda acc: acc["taken"])
+    return pool.select(F.explode(taken).alias("pos"), F.col("sign").alias("change"))
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it, columns unchanged.
 
