@@ -52,11 +52,8 @@ def word_tokens(c, limit: int | None = None):
 
 
 def word_count(c):
-    """Number of whitespace tokens, from the pieces of one split."""
-    pieces = F.split(c, f"{WS_CLASS}+", -1)
-    edge = F.when(F.element_at(pieces, 1) == "", 1).otherwise(0) + F.when(F.element_at(pieces, -1) == "", 1).otherwise(0)
-    # a text without tokens is one or two empty pieces
-    return F.when(c.isNotNull(), F.greatest(F.size(pieces) - edge, F.lit(0)))
+    """Number of whitespace tokens, from one split (the text is named once: filters don't share subexpressions)."""
+    return F.array_size(F.filter(F.split(c, f"{WS_CLASS}+", -1), lambda t: t != F.lit("")))
 
 
 # ---------------------------------------------------------------- Spark side
