@@ -17,6 +17,7 @@ from paracorpus.functions import text as tx
 from paracorpus.functions.translit import transliterate
 from paracorpus.operators import chat, columns, encode, filters, langs, merge, metrics, sample, stats, translate
 from paracorpus.session import written
+from paracorpus.sources import schemas
 
 AUDIO_SOURCE = "audio-pairs"
 BASE_EXCLUDED_SOURCE = "audio"
@@ -64,6 +65,7 @@ def pretrain_text(merged: DataFrame, transcripts: Sequence[DataFrame], existing:
 def train_test(base: DataFrame, audio: DataFrame, bench: DataFrame, bad_sources, n_special: int = encode.N_SPECIAL) -> DataFrame:
     """Q4: refine the merged corpus into aligned train/test splits with token
     counts, blacklist filtered; returns one frame with a ``split`` column."""
+    schemas.checked(base, schemas.MERGED, "merged corpus")
     b = filters.filter_neq(base, "dataset_source", BASE_EXCLUDED_SOURCE)
     b = b.select("english", "darija_ar", "dataset_source", "id", "role", "row_id").withColumn("darija_Latn", F.lit(""))
     b = columns.rename_positional(b, ["english", "darija_Arab", "dataset_source", "id", "role", "row_id", "darija_Latn"])
@@ -82,7 +84,7 @@ def train_test(base: DataFrame, audio: DataFrame, bench: DataFrame, bad_sources,
     test = test.withColumn("darija_tokens", encode.token_count(F.col("darija_Arab"), n_special))
     aligned = columns.align_columns({"train": train, "test": test})
     aligned["train"] = filters.filter_bad_sources(aligned["train"], bad_sources)
-    return merge.split_dict(aligned)
+    return schemas.checked(merge.split_dict(aligned), schemas.TRAIN_TEST, "train/test")
 
 
 def weighted_training_sample(train: DataFrame, n: int, seed: int, max_tokens: int = 4096) -> DataFrame:
@@ -92,7 +94,8 @@ def weighted_training_sample(train: DataFrame, n: int, seed: int, max_tokens: in
     drawn = sample.sample_with_pinned_source(train, n, seed, "darija_tokens", "dataset_source", AUDIO_SOURCE, max_tokens)
     drawn = drawn.select("row_id", "english", "darija_Arab", "darija_Latn", "dataset_source", "darija_tokens", "draw_rank")
     drawn = columns.rename_columns(drawn, {"darija_Arab": "ary_Arab", "darija_Latn": "ary_Latn", "darija_tokens": "ary_tokens"})
-    return drawn.select("row_id", "english", "ary_Arab", "ary_Latn", "ary_tokens", "dataset_source", "draw_rank")
+    drawn = drawn.select("row_id", "english", "ary_Arab", "ary_Latn", "ary_tokens", "dataset_source", "draw_rank")
+    return schemas.checked(drawn, schemas.SAMPLE, "training sample")
 
 
 def sample_report(sampled: DataFrame) -> DataFrame:

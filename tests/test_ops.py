@@ -25,8 +25,8 @@ def test_dedup_plan_has_group_limit(spark):
 
 
 def test_neq_keeps_null(spark):
-    df = spark.createDataFrame([("doda",), ("a",), (None,)], "s string")
-    assert sorted(r.s or "" for r in filters.filter_neq(df, "s", "doda").collect()) == ["", "a"]
+    df = spark.createDataFrame([("audio",), ("a",), (None,)], "s string")
+    assert sorted(r.s or "" for r in filters.filter_neq(df, "s", "audio").collect()) == ["", "a"]
 
 
 def test_blacklist_keeps_null(spark):
@@ -271,3 +271,13 @@ def test_progressive_sink_raises_read_failures(spark, tmp_path):
     df = spark.createDataFrame([(1, "ab")], "row_id long, english string")
     with pytest.raises(Exception):
         translate.translate_progressive(df, "row_id", "english", HALF_MODEL, ["a"], str(path), 0)
+
+
+def test_stage_schemas_are_checked(spark):
+    import pytest
+    from paracorpus.sources import schemas
+
+    good = spark.createDataFrame([], schemas.SAMPLE).withColumn("more", F.lit(1))
+    assert schemas.checked(good, schemas.SAMPLE, "s") is good
+    with pytest.raises(ValueError, match="s: ary_tokens: bigint, draw_rank: missing"):
+        schemas.checked(good.withColumn("ary_tokens", F.lit(1).cast("long")).drop("draw_rank"), schemas.SAMPLE, "s")
