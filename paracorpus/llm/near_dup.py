@@ -9,8 +9,10 @@
    The XOR population count of the two sketches estimates the similarity; pairs
    well below the threshold are dropped, the others are confirmed on full sets.
 4. Links are closed to components.  Buckets that still hold nodes of several
-   components are searched in blocks: sketches of nodes in different components
-   are compared, and every pair that may be similar is confirmed as well.
+   components are searched in blocks, where sketches of nodes in different
+   components are compared.  One round confirms each node's nearest one only,
+   which joins most of what belongs together; the last round confirms every pair
+   left that may be similar.
 
 So each pair of a bucket is either known to be connected, compared by sketch, or
 confirmed on full sets; no pairs are listed inside a component, however large.
@@ -24,19 +26,20 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paracorpus.llm.common import spill
+from paracorpus.llm.common import shuffle_partitions, spill
 
 BANDS, ROWS = 32, 6
-SAMPLES = BANDS * ROWS
-SKETCH_WORDS = 8
+#: MinHash samples of a signature; the first BANDS * ROWS make the bands, all the sketch.
+SAMPLES = 1024
+SKETCH_WORDS = 32
 SKETCH_BITS = 64 * SKETCH_WORDS
-#: Estimated similarity may be lower than the threshold by this much.
-MARGIN = 0.15
+#: Estimated similarity may be lower than the threshold by this much: above four
+#: standard deviations of the estimate (0.013 at a similarity of 0.85).
+MARGIN = 0.06
 #: Nodes of a bucket that one task compares with as many others.
 BLOCK = 1024
 
@@ -105,7 +108,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
-    rows = samples.reshape(BANDS, ROWS)
+    rows = samples[: BANDS * ROWS].reshape(BANDS, ROWS)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         key = _mix(key * _PLACE[5] + rows[:, k])
@@ -206,26 +209,78 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _search_block(limit: int):
-    def search(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of one (bucket, block, block) in different components with similar sketches."""
-        _, low, high = key
-        side = rows["block"].to_numpy()
-        node, label = rows["id"].to_numpy(), rows["label"].to_numpy()
+def _search_blocks(limit: int, nearest: bool):
+    """Pairs in different components with similar sketches, of each (bucket, block, block).
+
+    Rows come sorted by (key, low, high).  ``nearest`` gives each node's most
+    similar one only; else a pair that shares several bands is given by the
+    first one.
+    """
+
+    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        key, low, high = (rows.column(c)[0].as_py() for c in ("key", "low", "high"))
+        side, node, label = (rows.column(c).to_numpy() for c in ("block", "id", "label"))
+        bands = _matrix(rows.column("bands"), BANDS)
         # unsigned: numpy counts the ones of a negative number's magnitude
-        sketch = np.array(rows["sketch"].to_list(), np.int64).reshape(len(rows), SKETCH_WORDS).view(np.uint64)
+        sketch = _matrix(rows.column("sketch"), SKETCH_WORDS).view(np.uint64)
+        band = int(np.flatnonzero(bands[0] == key)[0])
         left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
         out_a, out_b = [], []
         for i in left:
-            differ = np.bitwise_count(sketch[right] ^ sketch[i]).sum(axis=1)
-            hit = right[(differ <= limit) & (label[right] != label[i])]
-            hit = hit[node[hit] > node[i]] if low == high else hit
-            out_a.append(np.minimum(node[hit], node[i]))
-            out_b.append(np.maximum(node[hit], node[i]))
+            there = right[label[right] != label[i]]
+            if low == high and not nearest:
+                there = there[node[there] > node[i]]
+            differ = np.bitwise_count(sketch[there] ^ sketch[i]).sum(axis=1)
+            if nearest:
+                there = there[[int(np.argmin(differ))]] if len(differ) and differ.min() <= limit else there[:0]
+            else:
+                there = there[differ <= limit]
+                there = there[~(bands[there, :band] == bands[i, :band]).any(axis=1)]
+            out_a.append(np.minimum(node[there], node[i])), out_b.append(np.maximum(node[there], node[i]))
         empty = np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+        return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if rest is None else pa.concat_tables([rest, part]).combine_chunks()
+            groups = np.stack([part.column(c).to_numpy() for c in ("key", "low", "high")])
+            cuts = np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1
+            begin = 0
+            for end in cuts.tolist():
+                yield from emit(part.slice(begin, end - begin))
+                begin = end
+            rest = part.slice(begin)
+        if rest is not None and rest.num_rows:
+            yield from emit(rest)
+
+    def emit(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        a, b = pairs(rows)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return search
+    return run
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, width)
+
+
+def _mixed_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, limit: int, nearest: bool) -> DataFrame:
+    """Similar pairs of different components from the buckets that hold several."""
+    placed = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    placed = spill(placed, "dup_placed")
+    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    mixed = mixed.select("key", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("blocks"))
+    rows = placed.join(mixed, "key").join(nodes.select("id", "sketch", "bands").dropDuplicates(["id", "bands"]), "id")
+    rows = rows.filter(F.array_contains("bands", F.col("key")))  # of a repeated id, the text that is in the bucket
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks")
+    parts = shuffle_partitions(shared.sparkSession)
+    dealt = rows.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
+    return dealt.mapInArrow(_search_blocks(limit, nearest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -253,25 +308,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = nodes.select("id", "sketch", "n_shingles")
 
     star = shared.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    star = spill(_alike(star, sketches, limit, percent), "dup_star")
+    tested = spill(_alike(star, sketches, limit, percent), "dup_star")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    links = spill(confirm(star, texts, percent), "dup_links")
+    links = spill(confirm(tested, texts, percent), "dup_links")
     labels = components(links)
-
-    # buckets that hold several components
-    placed = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    placed = spill(placed, "dup_placed")
-    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    mixed = mixed.select("key", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)").alias("blocks"))
-    rows = placed.join(mixed, "key").join(nodes.select("id", "sketch").dropDuplicates(["id"]), "id")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    found = rows.groupBy("key", "low", "high").applyInPandas(_search_block(limit), "a long, b long").distinct()
-    rest = found.join(star.select("a", "b"), ["a", "b"], "left_anti")
-    rest = spill(_alike(rest, sketches, limit, percent), "dup_rest")
-    more = confirm(rest, texts, percent)
-    labels = components(spill(links.union(more), "dup_all_links"))
+    for nearest in (True, False):
+        found = _mixed_pairs(shared, nodes, labels, limit, nearest)
+        fresh = spill(_alike(found.join(tested, ["a", "b"], "left_anti"), sketches, limit, percent), "dup_found")
+        tested = tested.unionByName(fresh)
+        more = spill(confirm(fresh, texts, percent), "dup_more")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            labels = components(links)
 
     own = signed.select("id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
     final = own.join(labels.withColumnRenamed("id", "node"), "node", "left")
