@@ -60,7 +60,7 @@ def _selectors(classes: np.ndarray) -> np.ndarray:
         count = int(COUNTS[s])
         k = 1 << (count.bit_length() - 1)
         widest = np.maximum(maxima[k][:n], maxima[k][count - k : count - k + n])
-        np.minimum(sel, np.where(widest <= s, np.uint8(s), np.uint8(ESCAPE)), out=sel)
+        sel[widest <= s] = s
     return sel
 
 
@@ -170,8 +170,8 @@ def write_tokens(
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokens.tokenizer_path(tokenizer)).encode
-        end = np.array([end_id], "<u4").tobytes()
+        encode_all = tokens.encoder(tokens.tokenizer_path(tokenizer)).encode_all
+        end = np.array([end_id], "<u4")
         part, start, held, keys, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def segment() -> pa.RecordBatch:
@@ -181,8 +181,8 @@ def write_tokens(
             )
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
+            for key, found in zip(batch.column(0).to_pylist(), encode_all(batch.column(1)), strict=True):
+                ids = np.concatenate([found, end])
                 held.append(ids)
                 keys.append(key)
                 size += len(ids)

@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Cached words per generation and Python worker; two generations are kept.
-MAX_CACHED = 400_000
+#: Cached words and pieces per generation and Python worker; two generations are kept.
+MAX_WORDS, MAX_PIECES = 450_000, 250_000
+#: Bytes of text that are encoded together; each distinct piece in them is looked up once.
+CHUNK_BYTES = 8 << 20
 #: The tokenizer's own word pattern in terms of Python's classes.  The classes
 #: differ for a few characters; words that hold such a character are refused.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -22,36 +27,136 @@ _UNSURE = re.compile(r"[\x1c-\x1f\x85]")
 _encoders: dict[str, WordEncoder] = {}
 
 
-class WordEncoder(dict):
-    """Encodes texts to little-endian unsigned 32-bit ids; maps words to their ids,
-    or to None where the word pattern may not be the tokenizer's."""
+class _Cache(dict):
+    """Computes missing values; once full, the entries become the old generation."""
 
-    def __init__(self, path: str):
+    def __init__(self, make, limit):
         super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        return self.put(key, self.make(key) if value is None else value)
+
+    def put(self, key, value):
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def has(self, key) -> bool:
+        return key in self or key in self.old
+
+
+class WordEncoder:
+    """Encodes texts to little-endian unsigned 32-bit ids.
+
+    ``pieces`` maps what follows one space to its ids: a cut before a space
+    that follows no blank is always one between words.  ``words`` maps words.
+    Both map to None what they can't be sure of.
+    """
+
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.old: dict[str, bytes | None] = {}
+        self.words = _Cache(self._word, MAX_WORDS)
+        self.pieces = _Cache(self._piece, MAX_PIECES)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes | None:
-        value = self.old.get(word)
-        if value is None:
-            sure = word.isascii() or all(c.isalpha() or c.isdecimal() or not c.isalnum() for c in word)
-            value = self._library(word) if sure and not _UNSURE.search(word) else None
-        if len(self) >= MAX_CACHED:
-            self.old = dict(self)
-            self.clear()
-        self[word] = value
-        return value
+    @staticmethod
+    def _sure(word: str) -> bool:
+        known = word.isalpha() or word.isascii() or all(c.isalpha() or c.isdecimal() or not c.isalnum() for c in word)
+        return known and not _UNSURE.search(word)
+
+    def _word(self, word: str) -> bytes | None:
+        return self._library(word) if self._sure(word) else None
+
+    def _prefetch(self, pieces: list[str]) -> None:
+        """Encode the new words of new pieces together: words that begin with a
+        space are joined to one text, whose words the library numbers."""
+        words = set()
+        for p in pieces:
+            words.update(_WORDS.findall(" " + p))
+        new = [w for w in words if len(w) > 1 and w[0] == " " and w[1] != " " and not self.words.has(w) and self._sure(w)]
+        found = self.tokenizer.encode("".join(new), add_special_tokens=False)
+        ids, number = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+        if len(number) and number[-1] + 1 == len(new):
+            cuts = np.searchsorted(number, np.arange(len(new) + 1)).tolist()
+            for w, i, j in zip(new, cuts, cuts[1:], strict=False):
+                self.words.put(w, ids[i:j].tobytes())
+
+    def _piece(self, piece: str) -> bytes | None:
+        if not piece or piece[-1].isspace():  # the next space belongs to a run of blanks
+            return None
+        return self._by_words(" " + piece)
+
+    def _by_words(self, text: str) -> bytes | None:
+        ids = [self.words[w] for w in _WORDS.findall(text)]
+        return None if None in ids else b"".join(ids)
 
     def encode(self, text: str) -> bytes:
-        ids = [self[w] for w in _WORDS.findall(text)]
-        return self._library(text) if None in ids else b"".join(ids)
+        first, *rest = text.split(" ")
+        if not (rest and first[-1:].isspace()):
+            start, pieces = self._by_words(first), self.pieces
+            try:
+                return b"".join([start, *[pieces[p] for p in rest]])
+            except TypeError:  # a None among them
+                pass
+        ids = self._by_words(text)
+        return self._library(text) if ids is None else ids
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of every text of a string array, null as empty."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        begin = 0
+        while begin < len(texts):
+            base = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, base + CHUNK_BYTES, side="right")))
+            yield from self._encode_chunk(texts.slice(begin, end - begin))
+            begin = end
+
+    def _encode_chunk(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        split = pc.split_pattern(texts, " ")
+        begins = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = pc.dictionary_encode(split.flatten())
+        index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        starts = begins[:-1]
+        rest = np.ones(len(index), bool)
+        rest[starts] = False
+        used = np.zeros(len(distinct), bool)
+        used[index[rest]] = True  # the first piece of a text follows no space
+        pieces = self.pieces
+        self._prefetch([p for p, u in zip(distinct, used.tolist(), strict=True) if u and not pieces.has(p)])
+        known = [pieces[p] if u else b"" for p, u in zip(distinct, used.tolist(), strict=True)]
+        unsure = np.fromiter([k is None for k in known], bool, len(known))
+        bad = np.logical_or.reduceat(unsure[index] & rest, starts) if len(index) else np.zeros(0, bool)
+        heads = []
+        for k, place in enumerate(starts.tolist()):
+            head = distinct[index[place]]
+            slow = bad[k] or (begins[k + 1] > place + 1 and head[-1:].isspace())
+            ids = None if slow else self._by_words(head)
+            if ids is None:  # the whole text at its first piece, nothing at the others
+                bad[k], ids = True, self.encode(texts[k].as_py())
+            heads.append(ids)
+        index[starts] = len(known) + np.arange(len(starts))
+        known = [k or b"" for k in known] + heads + [b""]
+        if bad.any():
+            drop = np.repeat(bad, np.diff(begins)) & rest
+            index[drop] = len(known) - 1
+        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(length) - length
+        pool = np.frombuffer(b"".join(known), "<u4")
+        n = length[index]
+        ends = np.cumsum(n)
+        ids = pool[np.repeat(first[index] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        yield from np.split(ids, (ends - n)[starts[1:]])
 
 
 def encoder(path: str) -> WordEncoder:

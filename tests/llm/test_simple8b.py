@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -48,15 +49,23 @@ def test_ids_are_the_librarys_for_any_text(text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
-def test_cache_generations():
+def test_cache_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_WORDS", 3)
+    monkeypatch.setattr(tokens, "MAX_PIECES", 3)
     encoder = tokens.WordEncoder(tokens.tokenizer_path())
-    before, tokens.MAX_CACHED = tokens.MAX_CACHED, 3
-    try:
-        text = "one two three four five one two three"
-        assert encoder.encode(text) == encoder._library(text)
-        assert len(encoder) <= 3
-    finally:
-        tokens.MAX_CACHED = before
+    text = "one two three four five one two three"
+    assert encoder.encode(text) == encoder._library(text)
+    assert len(encoder.words) <= 3 and len(encoder.pieces) <= 3
+
+
+def test_chunks_of_texts(monkeypatch):
+    encoder = tokens.WordEncoder(tokens.tokenizer_path())
+    texts = pa.array([*TEXTS, None, "a b", "a", "the end"])
+    for size in (1, 40, 1 << 20):
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", size)
+        for text, ids in zip(texts.to_pylist(), encoder.encode_all(texts), strict=True):
+            assert ids.tobytes() == encoder._library(text or "")
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
 
 
 def brute(docs):
