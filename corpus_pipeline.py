@@ -15,6 +15,10 @@ from paracorpus.llm import decontaminate, line_quality, mixing, near_dup, simple
 from paracorpus.llm.common import spill, table
 
 
+#: Least similarity of near copies in the near-dedup stage; op7 has its own.
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without lines that are frequent in their source."""
     return line_quality.without_frequent_lines(docs, line_quality.line_rules(docs))
@@ -22,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
-    kept = near_dup.near_duplicates(docs).filter("kept").select(F.col("id").alias("__kept"))
+    kept = near_dup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("id").alias("__kept"))
     kept = spill(kept.distinct(), "dedup_kept")
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
 

@@ -16,13 +16,15 @@
 
 So each pair of a bucket is either known to be connected, compared by sketch, or
 confirmed on full sets; no pairs are listed inside a component, however large.
-A link is missed only if no band of the signature agrees (probability below
-3e-7 at the threshold) or the sketch is off by more than ``MARGIN``.
+The bands follow from the threshold: a link is missed only if no band of the
+signature agrees (probability below ``MISSED`` at the threshold) or the sketch
+is off by more than :func:`margin`.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +34,18 @@ from pyspark.sql import functions as F
 
 from paracorpus.llm.common import shuffle_partitions, spill
 
-BANDS, ROWS = 32, 6
-#: MinHash samples of a signature; the first BANDS * ROWS make the bands, all the sketch.
+#: Probability that no band of a pair at the threshold agrees.
+MISSED = 3e-7
+#: Samples of a band and bands of a signature at most, while fewer samples a band can do.
+MOST_ROWS, MOST_BANDS = 6, 64
+#: MinHash samples of a signature; the first ones make the bands, all the sketch.
 SAMPLES = 1024
 SKETCH_WORDS = 32
 SKETCH_BITS = 64 * SKETCH_WORDS
-#: Estimated similarity may be lower than the threshold by this much: above four
-#: standard deviations of the estimate (0.013 at a similarity of 0.85).
+#: Estimated similarity may be lower than the threshold by this much, or by so many
+#: standard deviations of the estimate (0.012 at a similarity of 0.85), if more.
 MARGIN = 0.06
+DEVIATIONS = 4.8
 #: Nodes of a bucket that one task compares with as many others.
 BLOCK = 1024
 
@@ -107,14 +113,31 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view("<i8")
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    rows = samples[: BANDS * ROWS].reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        key = _mix(key * _PLACE[5] + rows[:, k])
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands of which at most ``MOST_BANDS`` find a pair at the threshold."""
+    for rows in range(MOST_ROWS, 0, -1):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree)) if agree > 0 else SAMPLES + 1
+        if bands <= (MOST_BANDS if rows > 1 else SAMPLES):
+            return bands, rows
+    raise ValueError(f"{SAMPLES} samples can't find pairs of {percent} % similarity")
+
+
+def band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = samples[: bands * rows].reshape(bands, rows)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
+    for k in range(rows):
+        key = _mix(key * _PLACE[5] + parts[:, k])
     return key.view(np.int64)
 
 
+def margin(threshold: float) -> float:
+    """How far the estimate may be off: samples that agree by chance, elements that meet on a bit."""
+    m, n = 2 * SAMPLES * (1 - threshold), SKETCH_BITS
+    met = (n / 4 * (1 - math.exp(-4 * m / n)) - m * math.exp(-4 * m / n)) * math.exp(4 * m / n) / (2 * SAMPLES) ** 2
+    return max(MARGIN, DEVIATIONS * math.sqrt(threshold * (1 - threshold) / SAMPLES + max(0.0, met)))
+
+
 def most_differing(threshold: float) -> int:
     """Ones in the XOR of two sketches up to which a pair may reach the threshold.
 
@@ -122,15 +145,16 @@ def most_differing(threshold: float) -> int:
     element on each side, and m elements thrown on n bits leave
     ``n / 2 * (1 - exp(-2 m / n))`` odd ones.
     """
-    differ = 2 * SAMPLES * (1 - max(0.0, threshold - MARGIN))
+    differ = 2 * SAMPLES * (1 - max(0.0, threshold - margin(threshold)))
     return int(SKETCH_BITS / 2 * (1 - np.exp(-2 * differ / SKETCH_BITS)))
 
 
 _SIGNED = "id long, n_shingles long, set_hash binary, bands array<bigint>, sketch array<bigint>"
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """(id, n_shingles, set_hash, bands, sketch) of every row; no bands without words."""
+    n_bands, n_rows = banding(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +167,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     continue
                 samples = signature(grams)
                 hashes.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
-                bands.append(band_keys(samples))
+                bands.append(band_keys(samples, n_bands, n_rows))
                 sketches.append(odd_sketch(samples))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -209,7 +233,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _search_blocks(limit: int, nearest: bool):
+def _search_blocks(limit: int, nearest: bool, n_bands: int):
     """Pairs in different components with similar sketches, of each (bucket, block, block).
 
     Rows come sorted by (key, low, high).  ``nearest`` gives each node's most
@@ -220,7 +244,7 @@ def _search_blocks(limit: int, nearest: bool):
     def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         key, low, high = (rows.column(c)[0].as_py() for c in ("key", "low", "high"))
         side, node, label = (rows.column(c).to_numpy() for c in ("block", "id", "label"))
-        bands = _matrix(rows.column("bands"), BANDS)
+        bands = _matrix(rows.column("bands"), n_bands)
         # unsigned: numpy counts the ones of a negative number's magnitude
         sketch = _matrix(rows.column("sketch"), SKETCH_WORDS).view(np.uint64)
         band = int(np.flatnonzero(bands[0] == key)[0])
@@ -267,7 +291,7 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, width)
 
 
-def _mixed_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, limit: int, nearest: bool) -> DataFrame:
+def _mixed_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, limit: int, nearest: bool, n_bands: int) -> DataFrame:
     """Similar pairs of different components from the buckets that hold several."""
     placed = shared.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     placed = spill(placed, "dup_placed")
@@ -280,7 +304,7 @@ def _mixed_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, limit:
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks")
     parts = shuffle_partitions(shared.sparkSession)
     dealt = rows.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-    return dealt.mapInArrow(_search_blocks(limit, nearest), "a long, b long").distinct()
+    return dealt.mapInArrow(_search_blocks(limit, nearest, n_bands), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -295,7 +319,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives an empty result; other columns are ignored.
     """
     limit = most_differing(percent / 100)
-    signed = spill(signatures(docs, id_col, text_col), "dup_signed")
+    signed = spill(signatures(docs, id_col, text_col, percent), "dup_signed")
     classes = signed.filter("set_hash is not null").groupBy("set_hash").agg(F.min("id").alias("node"))
     classes = spill(classes, "dup_classes")
     # one row per node: any document with the class's set and smallest id
@@ -313,7 +337,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = spill(confirm(tested, texts, percent), "dup_links")
     labels = components(links)
     for nearest in (True, False):
-        found = _mixed_pairs(shared, nodes, labels, limit, nearest)
+        found = _mixed_pairs(shared, nodes, labels, limit, nearest, banding(percent)[0])
         fresh = spill(_alike(found.join(tested, ["a", "b"], "left_anti"), sketches, limit, percent), "dup_found")
         tested = tested.unionByName(fresh)
         more = spill(confirm(fresh, texts, percent), "dup_more")

@@ -101,3 +101,13 @@ def test_no_pairs_inside_a_component(spark):
     docs = documents(spark, list(enumerate(family(random.Random(4), 300, 150, 2), 1)))
     got = near_dup.near_duplicates(docs)
     assert got.agg(F.countDistinct("component_id")).first()[0] == 1
+
+
+def test_bands_follow_the_threshold(spark):
+    assert near_dup.banding(85) == (32, 6)
+    for percent in (20, 50, 70, 80, 85, 95, 100):
+        bands, n = near_dup.banding(percent)
+        assert bands * n <= near_dup.SAMPLES and (1 - (percent / 100) ** n) ** bands <= near_dup.MISSED
+    docs = corpus(2)
+    for percent in (50, 80):
+        assert sorted(rows(near_dup.near_duplicates(documents(spark, docs), percent=percent))) == brute(docs, percent)

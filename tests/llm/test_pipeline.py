@@ -8,6 +8,7 @@ import corpus_pipeline
 from paracorpus.llm import decontaminate, tokens
 
 from . import test_line_quality, test_mixing, test_near_dup
+from .helpers import documents, rows
 
 
 def test_stages_against_brute_force(spark, sf001, tmp_path):
@@ -56,3 +57,19 @@ def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
+
+
+def test_near_dedup_takes_copies_from_80_percent(spark):
+    base = [f"w{i}" for i in range(104)]  # 100 shingles; one changed word takes five of them
+    edited = lambda *at: " ".join(f"e{i}" if i in at else w for i, w in enumerate(base))
+    docs = [(1, " ".join(base)), (2, edited(40, 60)), (3, edited(30, 50, 70))] + [(10 + k, f"x{k} " * 60) for k in range(3)]
+    assert [r[0] for r in test_near_dup.brute(docs, 80) if r[3]] == [1, 3, 10, 11, 12]
+    assert [r[0] for r in test_near_dup.brute(docs) if r[3]] == [1, 2, 3, 10, 11, 12]
+    out = corpus_pipeline.near_dedup(spark, documents(spark, docs), "")
+    assert sorted(r[0] for r in rows(out)) == [1, 3, 10, 11, 12]
+
+
+def test_near_dedup_on_the_tables_at_80_percent(spark, sf001):
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    want = [r[0] for r in test_near_dup.brute([(r["doc_id"], r["text"]) for r in docs.collect()], 80) if r[3]]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf001).collect()) == want
