@@ -8,8 +8,8 @@ per target, its solution tilts the base rates exponentially,
 multipliers: every iteration is one distributed aggregation of the tilted token
 sums (dual gradient) and their uncapped part (dual curvature).  Rates are then
 rounded to whole copies by systematic sampling along each group's documents in
-descending size, with the phase that leaves the smallest residual; a few
-documents of each size class then make up what is left of it.
+descending size, with the phase that leaves the smallest residual; further
+documents, as many as it takes, then make up what is left of it.
 
 Only DataFrame functions are used on this path.
 """
@@ -23,8 +23,6 @@ from paracorpus.llm.common import spill, with_positions, word_count
 
 #: Phases of the systematic sampling that are compared per group.
 PHASES = 64
-#: Documents per group, direction and power of two of sizes that may make up a residual.
-SPARE = 4
 MAX_NEWTON = 60
 TOLERANCE = 1e-9
 
@@ -205,37 +203,52 @@ def mix(
 
 
 def _made_up(rounded: DataFrame, cap: int) -> DataFrame:
-    """(pos, change): documents that get a copy more or fewer, so that each group's
-    residual falls below its smallest spare document.
+    """(pos, change): documents that get copies more or fewer, so that each group's
+    residual falls below the size of its smallest spare copy.
 
-    The spare documents of a group are ``SPARE`` per size class, a number that
-    doesn't grow with the group; a fold over them in descending size takes each
-    one that still fits.
+    A spare copy is one that a document may get up to ``cap`` or may lose.  They
+    are counted by size, first copies of all documents before second ones.  A
+    round takes sizes in descending order up to the residual, of the last size
+    as many as fit, which leaves less than half of the residual; rounds go on
+    with what still fits.  Only counts are summed along a group; the documents
+    of the sizes taken in part are chosen by a distributed position.
     """
     left = rounded.groupBy("grp").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("gap"))
-    left = left.select(F.col("grp").alias("g"), "gap", F.when(F.col("gap") > 0, 1).otherwise(-1).alias("sign"))
-    near = rounded.join(left, F.col("grp").eqNullSafe(F.col("g"))).filter(
-        (F.col("size") > 0)
-        & (F.col("size") <= F.abs("gap"))
-        & F.when(F.col("sign") > 0, (F.col("copies") < cap) & (F.col("rate") > 0)).otherwise(F.col("copies") > 0)
-    )
-    near = near.withColumn("class", F.floor(F.log2("size")).cast("int"))
-    order = Window.partitionBy("g", "class").orderBy("pos")
-    spare = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SPARE)
-    pool = spare.groupBy("g").agg(
-        F.first(F.abs("gap")).alias("gap"), F.first("sign").alias("sign"), F.sort_array(F.collect_list(F.struct("size", "pos")), asc=False).alias("pool")
-    )
-    zero = F.struct(F.col("gap").alias("left"), F.array().cast("array<bigint>").alias("taken"))
-
-    def take(acc: Column, x: Column) -> Column:
-        fits = x["size"] <= acc["left"]
-        return F.struct(
-            F.when(fits, acc["left"] - x["size"]).otherwise(acc["left"]).alias("left"),
-            F.when(fits, F.concat(acc["taken"], F.array(x["pos"]))).otherwise(acc["taken"]).alias("taken"),
-        )
+    left = left.select(F.col("grp").alias("g"), F.floor(F.abs("gap")).cast("long").alias("left"), F.when(F.col("gap") > 0, 1).otherwise(-1).alias("sign"))
+    left = spill(left, "mix_left")
+    room = F.when(F.col("sign") < 0, F.col("copies")).when(F.col("rate") > 0, F.lit(cap) - F.col("copies")).otherwise(0)
+    near = rounded.join(left, F.col("grp").eqNullSafe(F.col("g"))).filter((F.col("size") > 0) & (F.col("size") <= F.col("left")) & (room > 0))
+    spare = near.select("g", "sign", "size", "pos", F.explode(F.sequence(F.lit(1), room.cast("int"))).alias("turn"))
+    cells = spill(spare.groupBy("g", "turn", "size").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(None).cast("long")), "mix_cells")
+    left = left.select("g", "left")
+    along = Window.partitionBy("g").orderBy("turn", F.desc("size")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    while True:
+        state = left.select(F.col("g").alias("sg"), "left")
+        cells = cells.join(state, F.col("g").eqNullSafe(F.col("sg"))).drop("sg")
+        fits = F.col("k").isNull() & (F.col("size") <= F.col("left"))
+        words = F.when(fits, F.col("size") * F.col("n")).otherwise(0)
+        before = F.col("upto") - F.col("size") * F.col("n")
+        some = F.when(F.col("upto") <= F.col("left"), F.col("n")).when(before <= F.col("left"), F.floor((F.col("left") - before) / F.col("size")))
+        step = cells.withColumn("fits", fits).withColumn("upto", F.sum(words).over(along))
+        step = step.withColumn("now", F.when(F.col("fits"), some).cast("long"))
+        step = spill(step.select("g", "turn", "size", "n", F.coalesce("k", "now").alias("k"), "now"), "mix_cells")
+        cells = step.drop("now")
+        if step.filter("now > 0").limit(1).count() == 0:
+            break
+        used = step.groupBy(F.col("g").alias("ug")).agg(F.sum(F.coalesce("now", F.lit(0)) * F.col("size")).alias("used"))
+        left = left.join(used, F.col("g").eqNullSafe(F.col("ug"))).select("g", (F.col("left") - F.col("used")).alias("left"))
+        left = spill(left, "mix_left")
 
-    taken = F.aggregate("pool", zero, take, lambda acc: acc["taken"])
-    return pool.select(F.explode(taken).alias("pos"), F.col("sign").alias("change"))
+    taken = cells.filter("k > 0").select(F.col("g").alias("tg"), F.col("turn").alias("tt"), F.col("size").alias("ts"), "n", "k")
+    of = F.col("g").eqNullSafe(F.col("tg")) & (F.col("turn") == F.col("tt")) & (F.col("size") == F.col("ts"))
+    chosen = spill(spare.join(taken, of).select("g", "turn", "size", "pos", "sign", "n", "k"), "mix_chosen")
+    part = chosen.filter("k < n").withColumn("is_null", F.col("g").isNull())
+    part = with_positions(part, ["is_null", "g", "turn", "size", "pos"], "at", "mix_part")
+    first = part.groupBy("g", "turn", "size").agg(F.min("at").alias("first"))
+    first = first.select(F.col("g").alias("tg"), F.col("turn").alias("tt"), F.col("size").alias("ts"), "first")
+    part = part.join(first, of).filter(F.col("at") - F.col("first") < F.col("k"))
+    both = chosen.filter("k = n").select("pos", "sign").unionByName(part.select("pos", "sign"))
+    return both.groupBy("pos").agg(F.sum("sign").cast("int").alias("change"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -101,3 +101,26 @@ def test_awkward_rows(spark):
     assert mixing.mixed_documents(awkward(spark)).columns == awkward(spark).columns
     nothing = mixing.op10_query(documents(spark, [(1, None), (2, "")])).collect()
     assert [r["taken"] for r in nothing] == [0, 0]
+
+
+@pytest.mark.parametrize("share", [1.5, 0.3])
+def test_residual_of_a_giant_document_is_made_up(spark, share):
+    rng = random.Random(7)
+    sizes = {0: 200_000} | {i: rng.randrange(200, 300) for i in range(1, 2001)}
+    docs = spark.createDataFrame([(i, n, s) for s in ("a", None) for i, n in sizes.items()], "doc_id long, n int, source string")
+    docs = docs.select(F.col("doc_id"), F.expr("repeat('w ', n)").alias("text"), "source")
+    mixed = mixing.mix(docs, weights=(1.0,), share=share)
+    got = mixed.collect()
+    assert len(got) == 2 * len(sizes) and all(0 <= r["copies"] <= 2 for r in got)
+    assert abs(sum(r["taken"] for r in got) - 2 * got[0]["target"]) < 2 * 300  # two equal sources
+
+
+def test_residual_passes_gaps_of_size(spark):
+    """Documents far smaller than the ones that no longer fit make up the rest, by second copies too."""
+    rows_ = [(i, 0, "s", n) for i, n in enumerate([900, 900, 900, *[10] * 300])]
+    df = spark.createDataFrame([(i, c, g, n, 0.5, 4500.0) for i, c, g, n in rows_], "pos long, copies int, grp string, size long, rate double, target double")
+    change = {r["pos"]: r["change"] for r in mixing._made_up(df, 2).collect()}
+    assert sum(rows_[p][3] * c for p, c in change.items()) == 4500 and max(change.values()) <= 2
+    lower = df.withColumn("copies", F.lit(2)).withColumn("target", F.lit(1234.0))
+    change = {r["pos"]: r["change"] for r in mixing._made_up(lower, 2).collect()}
+    assert sum(rows_[p][3] * (2 + change.get(p, 0)) for p in range(len(rows_))) == 1240 and min(change.values()) >= -2
