@@ -25,10 +25,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
-#: A line is frequent in a host if it occurs in more distinct documents than this ...
-MIN_DOCUMENTS = 50
+#: A line is frequent in a host if it occurs in more distinct documents than this,
+#: whatever the host's size ...
+MIN_DOCUMENTS = 6
 #: ... and in more than this share of the host's distinct documents.
-MAX_SHARE = 0.02
+MAX_SHARE = 0.0
 #: A document is depleted if frequent lines hold more than this percentage of its words.
 MAX_REMOVED_PERCENT = 70
 

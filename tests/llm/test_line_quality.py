@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from paracorpus.llm import line_quality
 
 from .helpers import WORD, awkward, documents, empty, rows
@@ -81,3 +83,21 @@ def test_awkward_rows(spark):
     assert rows(line_quality.op4_query(empty(spark))) == []
     docs = awkward(spark)
     assert line_quality.without_frequent_lines(docs, line_quality.line_rules(docs)).count() == 1
+
+
+def test_limits_on_small_and_large_hosts(spark):
+    """Production values: the same line goes from a host of 10 texts and from one of 2,000."""
+    line = "all content of this site is provided as it is and without any warranty"
+    own = lambda h, i, n: " ".join(f"{h}{i}x{j}" for j in range(n))
+    docs = []
+    for h, size, holders in (("small", 10, 7), ("large", 2000, 30), ("few", 2000, 6)):
+        docs += [(len(docs) + i, own(h, i, 60) + (f"\n{line}" if i < holders else ""), h) for i in range(size)]
+    depleted = "\n".join(" ".join(f"d{k}x{j}" for j in range(30)) for k in range(4))
+    docs += [(10_000 + i, f"{depleted}\n{own('d', i, 20)}", "depleted") for i in range(7)]
+    df = documents(spark, docs)
+    got = line_quality.line_rules(df)
+    lost = {r["host"]: r["n"] for r in got.filter("removed_words > 0").groupBy("host").agg(F.count("*").alias("n")).collect()}
+    assert lost == {"+small": 7, "+large": 30, "+depleted": 7}
+    assert [r["host"] for r in got.filter("not kept").select("host").distinct().collect()] == ["+depleted"]
+    texts = line_quality.without_frequent_lines(df, got).filter(F.col("text").contains(line))
+    assert [tuple(r) for r in texts.groupBy("source").count().collect()] == [("few", 6)]
