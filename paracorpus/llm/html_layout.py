@@ -22,7 +22,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
     "head script style template title noscript noembed noframes iframe object canvas audio video datalist param source "
-    "track meta link base area map svg math rp colgroup col".split()
+    "track meta link base area rp colgroup col".split()
+)
+#: The same inside SVG and MathML.
+HIDDEN_FOREIGN = frozenset(
+    "desc defs metadata symbol clippath mask pattern lineargradient radialgradient filter marker annotation annotation-xml mphantom".split()
+)
+#: Elements of SVG and MathML that hold HTML, and HTML start tags that end SVG and MathML elsewhere.
+HOLDS_HTML = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+LEAVES_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 #: Blocks with a blank line before and after, and blocks on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
@@ -60,10 +70,11 @@ _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "kind")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    def __init__(self, tag: str, attrs: dict[str, str], kind: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.kind = kind  # math, svg, text (in an SVG text), or HTML
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -94,7 +105,7 @@ def parse(html: str) -> Node:
             _end(stack, tag)
             continue
         node = _start(stack, tag, m["attrs"])
-        if tag in RAW:
+        if tag in RAW and not (node.kind and m["attrs"].endswith("/")):
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             body = html[at : close.start() if close else n]
             node.children.append(unescape(body) if tag in ("textarea", "title") else body)
@@ -104,7 +115,25 @@ def parse(html: str) -> Node:
     return root
 
 
+def _kind(parent: Node, tag: str) -> str:
+    """The kind of an element ``tag`` in ``parent``."""
+    if tag in ("svg", "math"):
+        return tag
+    if not parent.kind or parent.tag in HOLDS_HTML:
+        return ""
+    return "text" if parent.kind == "svg" and tag == "text" else parent.kind
+
+
 def _start(stack: list[Node], tag: str, source: str) -> Node:
+    if tag in LEAVES_FOREIGN:
+        while _kind(stack[-1], tag):
+            stack.pop()
+    if kind := _kind(stack[-1], tag):
+        node = Node(tag, _attributes(source), kind)
+        stack[-1].children.append(node)
+        if not source.endswith("/") and len(stack) < MAX_DEPTH:
+            stack.append(node)
+        return node
     if tag in _ENDS_P:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == "p":
@@ -159,6 +188,8 @@ def _end(stack: list[Node], tag: str) -> None:
 def visible(node: Node) -> bool:
     if node.tag in HIDDEN or "hidden" in node.attrs:
         return False
+    if node.kind and (node.tag in HIDDEN_FOREIGN or node.attrs.get("display") == "none" or node.attrs.get("visibility") in ("hidden", "collapse")):
+        return False
     if node.tag == "dialog" and "open" not in node.attrs:
         return False
     return not ("style" in node.attrs and _INVISIBLE.search(node.attrs["style"]))
@@ -207,6 +238,8 @@ class Flow:
 def render(node: Node, flow: Flow, pre: bool = False) -> None:
     for child in node.children:
         if isinstance(child, str):
+            if node.kind == "svg" and node.tag != "foreignobject":
+                continue  # shown in text elements only
             if pre:
                 first, *rest = child.split("\n")
                 flow.line.append(first)
@@ -220,7 +253,9 @@ def render(node: Node, flow: Flow, pre: bool = False) -> None:
         tag = child.tag
         if not visible(child):
             continue
-        if tag == "br":
+        if child.kind:
+            _foreign(child, flow, pre)
+        elif tag == "br":
             flow.line_break()
         elif tag == "hr":
             flow.block(True)
@@ -251,6 +286,24 @@ def render(node: Node, flow: Flow, pre: bool = False) -> None:
             render(child, flow, pre or tag == "textarea")
 
 
+def _foreign(node: Node, flow: Flow, pre: bool) -> None:
+    """SVG texts and MathML rows on lines of their own; parts that are placed apart, a blank apart."""
+    own = node.tag in ("text", "foreignobject", "mtr", "mlabeledtr") or (node.tag == "math" and node.attrs.get("display") == "block")
+    apart = node.tag in ("mtd", "mfrac") or (node.tag == "tspan" and not node.attrs.keys().isdisjoint(("x", "y", "dx", "dy")))
+    if own:
+        flow.block(False)
+    if apart:
+        flow.text(" ")
+    if node.tag == "mfrac":
+        for part in node.children:
+            render(_only(part), flow, pre)
+            flow.text(" ")
+    else:
+        render(node, flow, pre)
+    if own:
+        flow.block(False)
+
+
 def _closed(flow: Flow, pre: bool = False) -> list[str]:
     if pre:
         flow.put(["".join(flow.line).rstrip()])
@@ -348,7 +401,7 @@ def _table(node: Node) -> list[str]:
 
 
 def page_text(html: str | None) -> str:
-    """All visible text of a page; empty for null, empty and invisible pages."""
+    """All visible text of a page, of formulas and SVG too; empty for null, empty and invisible pages."""
     if not html:
         return ""
     flow = Flow()

@@ -73,3 +73,22 @@ def test_awkward_rows(spark):
     assert sorted((r for r in got if r[0] != 3), key=repr) == [(1, ""), (2, ""), (None, "x")]
     assert sorted(len(r[1]) for r in got if r[0] == 3) == [1, 20_000 + 2 * 19_999]
     assert rows(html_layout.op3_query(df.limit(0))) == []
+
+
+FOREIGN = {
+    "<p>sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> end": "sum x+1 end",
+    "<math><semantics><mrow><mi>y</mi></mrow><annotation encoding='application/x-tex'>no</annotation></semantics></math>": "y",
+    "<math><mfrac><mi>a</mi><mi>b</mi></mfrac></math>": "a b",
+    "<svg><title>no</title><desc>no</desc><defs><text>no</text></defs>no<path d='M0'/><text>North</text><text x=1>South</text></svg>": "North\nSouth",
+    "<svg><defs/><g><rect/><text><tspan x=1>A</tspan><tspan x=2>B</tspan></text></g></svg>after": "A B\nafter",
+    "<svg><text display='none'>no</text><foreignObject><p>in html</p></foreignObject></svg>": "in html",
+    "<svg><defs><p>left": "left",
+    "<a href=x><svg><a><text>t</text></a></svg> link</a>": "t\nlink",
+    "<map name=m><area alt=no><p>choose <a href=y>one</a></p></map>": "choose one",
+    "<desc>shown</desc><mask>too</mask>": "showntoo",
+}
+
+
+@pytest.mark.parametrize("source", FOREIGN, ids=range(len(FOREIGN)))
+def test_formulas_graphics_and_maps(source):
+    assert html_layout.page_text(source) == FOREIGN[source]
