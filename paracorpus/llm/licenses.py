@@ -5,7 +5,8 @@ licence families or to the unknown class.  It is trained on variations of known
 notices against a bounded sample of corpus lines; a temperature and the least
 probability of a family are set on held-out rows, so that unknown text stays
 unknown.  A predicted paragraph counts once a comparison with the family's
-notices confirms it.
+notices confirms it; stretches that share their words with a notice are
+classified by themselves too, so a short notice counts in a line of any length.
 """
 
 from __future__ import annotations
@@ -102,10 +103,11 @@ STEPS = 150
 FALSE_ALARMS = 0.002
 #: Longer paragraphs are classified in windows of so many words, half overlapping.
 WINDOW = 40
-#: A unit's core runs from its first to its last word pair that the notice has.  It is
-#: confirmed if it holds this share of the unit, of the neighbouring word pairs of the
-#: shorter of core and notice, and of the words of the shorter one, in order.
-CORE = 0.4
+#: A core runs from one word pair that a notice has to another one, over the notice's
+#: length and this share more at most; a run of such pairs ends at a gap of so many words.
+REACH, RUN_GAP = 0.25, 4
+#: It is confirmed if it holds this share of the neighbouring word pairs of the shorter
+#: of core and notice, and of the words of the shorter one, in order.
 COMMON_PAIRS = 0.6
 CONFIRMED = 0.8
 #: Words that must be common: this share of the notice, or so many of a long one.
@@ -251,73 +253,163 @@ def fit(lines: list[str], seed: int = 0) -> Model:
     return model
 
 
-def compare(words: list[str], family: int) -> tuple[float, int, int]:
-    """(score, first, end): longest common word sequence of the unit's core and the
-    family's nearest notice over the shorter of both, and the core's place."""
-    best = (0.0, 0, 0)
-    pairs = list(zip(words, words[1:], strict=False))
-    for notice in NOTICES[FAMILIES[family]]:
-        other = words_of(notice)
-        theirs = set(zip(other, other[1:], strict=False))
+def common(words: list[str], other: list[str]) -> int:
+    """Length of the longest common word sequence."""
+    row = [0] * (len(other) + 1)
+    for w in words:
+        last = 0
+        for k, x in enumerate(other):
+            keep = row[k + 1]
+            row[k + 1] = last + 1 if w == x else max(keep, row[k])
+            last = keep
+    return row[-1]
+
+
+def _pairs(words: list[str]) -> list[tuple[str, str]]:
+    return list(zip(words, words[1:], strict=False))
+
+
+#: Words and neighbouring word pairs of the notices, by family.
+_NOTICES = [[(words_of(t), frozenset(_pairs(words_of(t)))) for t in NOTICES[f]] for f in FAMILIES]
+_FAMILIES_OF: dict[tuple[str, str], frozenset[int]] = {
+    p: frozenset(f for f in range(UNKNOWN) if any(p in theirs for _, theirs in _NOTICES[f])) for n in _NOTICES for _, all_ in n for p in all_
+}
+
+
+def _cores(hits: list[int], length: int) -> set[tuple[int, int]]:
+    """(first, last) places in ``hits``: each longest stretch within a notice's reach, and
+    each run without large gaps, as far as it goes within reach."""
+    reach, out, j = int(length * (1 + REACH)) + 1, set(), -1
+    for i in range(len(hits)):
+        far = max(i, j)
+        while far + 1 < len(hits) and hits[far + 1] + 2 - hits[i] <= reach:
+            far += 1
+        if far > j:
+            out.add((i, far))
+            j = far
+    i = 0
+    while i < len(hits):
+        k = i
+        while k + 1 < len(hits) and hits[k + 1] - hits[k] <= RUN_GAP and hits[k + 1] + 2 - hits[i] <= reach:
+            k += 1
+        out.add((i, k))
+        i = k + 1
+    return out
+
+
+def cores(words: list[str], family: int) -> list[tuple[float, int, int]]:
+    """(score, first, end) of the cores that share enough with a notice of the family:
+    longest common word sequence of core and notice over the shorter of both."""
+    out = []
+    pairs = _pairs(words)
+    for other, theirs in _NOTICES[family]:
         hits = [k for k, p in enumerate(pairs) if p in theirs]
-        if not hits:
-            continue
-        first, end = hits[0], hits[-1] + 2
-        core = set(pairs[first : end - 1])
-        if end - first < CORE * len(words) or len(core & theirs) < COMMON_PAIRS * min(len(core), len(theirs)):
-            continue
-        row = [0] * (len(other) + 1)
-        for w in words[first:end]:
-            last = 0
-            for k, x in enumerate(other):
-                keep = row[k + 1]
-                row[k + 1] = last + 1 if w == x else max(keep, row[k])
-                last = keep
-        if row[-1] >= min(LEAST_SHARE * len(other), LEAST_WORDS):
-            best = max(best, (row[-1] / min(end - first, len(other)), first, end), key=lambda x: (x[0], x[2] - x[1]))
-    return best
+        for i, j in _cores(hits, len(other)):
+            first, end = hits[i], hits[j] + 2
+            shared = len(set(pairs[first : end - 1]) & theirs)
+            if shared < COMMON_PAIRS * min(len(set(pairs[first : end - 1])), len(theirs)):
+                continue
+            n = common(words[first:end], other)
+            if n < min(LEAST_SHARE * len(other), LEAST_WORDS) or n < CONFIRMED * min(end - first, len(other)):
+                continue
+            while i < j and common(words[hits[i + 1] : end], other) == n:  # pairs beside the notice
+                i += 1
+            while i < j and common(words[hits[i] : hits[j - 1] + 2], other) == n:
+                j -= 1
+                end = hits[j] + 2
+            first = hits[i]
+            out.append((n / min(end - first, len(other)), first, end))
+    return out
+
+
+def compare(words: list[str], family: int) -> tuple[float, int, int]:
+    """(score, first, end) of the best and longest of the unit's confirmed cores."""
+    return max(cores(words, family), key=lambda x: (x[0], x[2] - x[1]), default=(0.0, 0, 0))
 
 
 def matched(words: list[str], family: int) -> float:
     return compare(words, family)[0]
 
 
+def _regions(model: Model, known: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Word ranges inside lines around word pairs of the notices, where two follow each other:
+    a core has more than half of its pairs in common with a notice."""
+    at, found = model.features(known)
+    v = len(model.vocabulary)
+    hits = np.sort(at[(found >= v) & (found < v + len(model.pairs))])
+    line = np.searchsorted(bounds, hits, "right")
+    inside = np.searchsorted(bounds, hits + 1, "right") == line  # not over a line's end
+    hits, line = hits[inside], line[inside]
+    if not len(hits):
+        return
+    longest = max(len(w) for n in _NOTICES for w, _ in n)
+    apart = (np.diff(hits) > int(longest * (1 + REACH))) | (np.diff(line) > 0)
+    for part in np.split(hits, np.flatnonzero(apart) + 1):
+        if (np.diff(part) == 1).any():
+            yield int(part[0]), int(part[-1]) + 2
+
+
 def find(model: Model, text: str | None) -> tuple[int, list[tuple[int, int, str, float]]]:
-    """(paragraphs, confirmed (start, end, family, probability)) of a text."""
+    """(paragraphs, confirmed (start, end, family, probability)) of a text.
+
+    Windows of the paragraphs are classified and compared with the notices of
+    their family; so is each core of a notice by itself, however long the
+    paragraph around it is.
+    """
     if not text:
         return 0, []
-    begin, end, place, words, units = [], [], 0, [], []
-    paragraphs = 0
+    begin, end, place, words, lines, bounds = [], [], 0, [], [], []
     for line in text.split("\n"):
         w = words_of(line)
         if w:
-            paragraphs += 1
             for a in range(0, max(1, len(w) - WINDOW // 2), WINDOW // 2) if len(w) > WINDOW else (0,):
-                begin.append(len(words) + a), end.append(len(words) + min(len(w), a + WINDOW)), units.append((place, line, a))
+                begin.append(len(words) + a), end.append(len(words) + min(len(w), a + WINDOW))
+            bounds.append(len(words)), lines.append((place, line))
             words.extend(w)
         place += len(line) + 1
-    if not units:
+    if not lines:
         return 0, []
-    known = model.ids(words)
-    p = model.probabilities(model.logits(known, np.array(begin), np.array(end)))
-    family = p[:, :UNKNOWN].argmax(axis=1)
-    top = p[np.arange(len(p)), family]
+    known, starts = model.ids(words), np.array(bounds)
+
+    def classes(low: list[int], high: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p = model.probabilities(model.logits(known, np.array(low), np.array(high)))
+        family = p[:, :UNKNOWN].argmax(axis=1)
+        top = p[np.arange(len(p)), family]
+        return family, top, (top >= model.least) & (top > p[:, UNKNOWN])
+
+    found: list[tuple[float, float, int, int, int]] = []  # score, probability, first, end, family
+    family, top, sure = classes(begin, end)
+    for k in np.flatnonzero(sure):
+        for score, low, high in cores(words[begin[k] : end[k]], family[k]):
+            found.append((score, float(top[k]), begin[k] + low, begin[k] + high, int(family[k])))
+    single = []
+    for low, high in _regions(model, known, starts):
+        part = words[low:high]
+        near = [f for p in _pairs(part) for f in _FAMILIES_OF.get(p, ())]
+        for f in set(near):
+            if near.count(f) > 1:
+                single += [(score, low + a, low + b, f) for score, a, b in cores(part, f)]
+    if single:
+        family, top, sure = classes([x[1] for x in single], [x[2] for x in single])
+        found += [(x[0], float(top[k]), x[1], x[2], x[3]) for k, x in enumerate(single) if sure[k] and family[k] == x[3]]
+    chosen, owner = [], np.full(len(words), -1)  # the family that has a word
+    for x in sorted(set(found), key=lambda x: (-x[0], x[2] - x[3], -x[1], x)):
+        if np.isin(owner[x[2] : x[3]], (-1, x[4])).all():
+            owner[x[2] : x[3]] = x[4]
+            chosen.append(x)
     spans: list[tuple[int, int, str, float]] = []
-    for k in np.flatnonzero((top >= model.least) & (top > p[:, UNKNOWN])):
-        score, low, high = compare(words[begin[k] : end[k]], family[k])
-        if score < CONFIRMED:
-            continue
-        start, line, a = units[k]
+    for _, p, low, high, f in sorted(chosen, key=lambda x: (x[2], x[3])):
+        k = int(np.searchsorted(starts, low, "right")) - 1
+        start, line = lines[k]
         places = [m.span() for m in _WORDS.finditer(line)]
         if len(places) != len(words_of(line)):  # case folding that changes words: the whole line
             places = [(0, len(line))] * len(words_of(line))
-        first, last = start + places[a + low][0], start + places[a + high - 1][1]
-        name = FAMILIES[family[k]]
-        if spans and spans[-1][2] == name and spans[-1][1] >= first:  # windows of one paragraph
-            spans[-1] = (spans[-1][0], last, name, max(spans[-1][3], float(top[k])))
+        first, last = start + places[low - bounds[k]][0], start + places[high - 1 - bounds[k]][1]
+        if spans and spans[-1][2] == FAMILIES[f] and spans[-1][1] > first:  # overlapping cores
+            spans[-1] = (spans[-1][0], max(spans[-1][1], last), FAMILIES[f], max(spans[-1][3], p))
         else:
-            spans.append((first, last, name, float(top[k])))
-    return paragraphs, spans
+            spans.append((first, last, FAMILIES[f], p))
+    return len(lines), spans
 
 
 def sample_lines(docs: DataFrame, text_col: str, n: int) -> list[str]:

@@ -72,3 +72,23 @@ def test_awkward_rows(spark, model):
     got = {r["doc_id"]: r for r in licenses.scan(awkward(spark), model=model).collect()}
     assert [got[k]["n_paragraphs"] for k in (2, 3, 4, 5)] == [0, 0, 0, 1] and all(not r["licenses"] for r in got.values())
     assert rows(licenses.op6_query(empty(spark))) == []
+
+
+def test_each_notice_inside_a_long_line(model):
+    """In one line of 100 other words, at its ends and between; places are the notice's own."""
+    around = [f"plain{i} words{i}" for i in range(50)]
+    for at in (0, 25, 50):
+        for family in licenses.FAMILIES:
+            for notice in licenses.NOTICES[family]:
+                text = " ".join([*around[:at], notice, *around[at:]])
+                found = licenses.find(model, text)[1]
+                assert [s[2] for s in found] == [family], (notice, at)
+                assert licenses.words_of(text[found[0][0] : found[0][1]]) == licenses.words_of(notice)
+
+
+def test_sentences_around_short_notices(model):
+    text = (
+        "This project was written by the members of the team for the users of the library and is licensed under the MIT license. See the docs "
+        "for the terms of use of the service. " + "More words follow here and there. " * 12 + "Copyright of the authors. All rights reserved."
+    )
+    assert [s[2] for s in licenses.find(model, text)[1]] == ["MIT", "Proprietary"]
