@@ -3,7 +3,8 @@
 One pass over the texts gives each document its counts and the hashes of its
 normalised lines.  Lines are then counted per host over distinct documents;
 documents with equal text count once, since whole copies are for deduplication
-to judge.  Lines above the host's limit are removed, and a document that keeps
+to judge, and so are near copies: a line counts by the documents that it would
+not deplete.  Lines above the host's limit are removed, and a document that keeps
 too few of its words is rejected.
 """
 
@@ -109,10 +110,25 @@ def host_key(host: Column) -> Column:
 
 
 def frequent_lines(entries: DataFrame, texts: DataFrame, min_documents: int, max_share: float) -> DataFrame:
-    """(host, line) of lines in more distinct documents of a host than its limit."""
+    """(host, line, documents, most) of lines in more distinct documents of a host than its limit."""
     limits = texts.groupBy("host").agg(F.greatest(F.lit(float(min_documents)), F.count(F.lit(1)) * max_share).alias("most"))
     counted = entries.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > min_documents)
-    return counted.join(limits, "host").filter("documents > most").select("host", "line")
+    return counted.join(limits, "host").filter("documents > most")
+
+
+def _removed(entries: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(host, text_hash, removed_words, removed_lines) of the texts that hold frequent lines."""
+    held = entries.join(frequent.select("host", "line"), ["host", "line"])
+    return held.groupBy("host", "text_hash").agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
+
+
+def beside_content(frequent: DataFrame, entries: DataFrame, texts: DataFrame, max_removed_percent: int) -> DataFrame:
+    """The frequent lines without those that pass the limit only by documents that
+    they would deplete: near copies share their content, which isn't boilerplate."""
+    lost = _removed(entries, frequent).join(texts.select("host", "text_hash", "n_words"), ["host", "text_hash"])
+    depleted = lost.filter(F.col("removed_words") * 100 > F.col("n_words") * max_removed_percent).select("host", F.explode("removed_lines").alias("line"))
+    inside = depleted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("inside"))
+    return frequent.join(inside, ["host", "line"], "left").filter("documents - coalesce(inside, 0) > most").select("host", "line")
 
 
 def line_rules(
@@ -133,15 +149,12 @@ def line_rules(
     result; other columns are ignored.
     """
     base = spill(measured(docs, id_col, text_col, host_col), "line_base")
-    texts = spill(base.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words")), "line_texts")
+    texts = spill(base.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"), F.first("n_words").alias("n_words")), "line_texts")
     each = F.explode(F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))).alias("e")
     entries = texts.select("host", "text_hash", each).select("host", "text_hash", F.col("e.line").alias("line"), F.col("e.words").alias("words"))
     frequent = spill(frequent_lines(entries, texts, min_documents, max_share), "line_frequent")
-    removed = (
-        entries.join(frequent, ["host", "line"])
-        .groupBy("host", "text_hash")
-        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
-    )
+    frequent = spill(beside_content(frequent, entries, texts, max_removed_percent), "line_beside")
+    removed = _removed(entries, frequent)
     out = base.drop("lines", "line_words").join(removed, ["host", "text_hash"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     lost = F.coalesce("removed_words", F.lit(0))
