@@ -73,6 +73,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_scratch() -> None:
     """Delete the folders that ``scratch_path`` handed out so far.
 
@@ -82,12 +87,20 @@ def release_scratch() -> None:
     while _scratch:
         spark, path = _scratch.pop()
         try:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001 - the session has ended: nothing can be deleted through it
             return
 
 
+def drop_written(df: DataFrame) -> None:
+    """Delete the folders that ``scratch_path`` handed out and ``df`` scans: for a loop that
+    has written the table that takes its place."""
+    read = df.inputFiles()
+    for spark, path in [x for x in _scratch if any(f"{x[1].split('://')[-1].lstrip('/')}/" in f for f in read)]:
+        _delete(spark, path)
+        _scratch.remove((spark, path))
+
+
 atexit.register(release_scratch)
 
 
