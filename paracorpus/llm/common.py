@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paracorpus.session import scratch_path
+from paracorpus.session import drop_written, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,6 +24,11 @@ def spill(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_spill(df: DataFrame) -> None:
+    """Delete the table behind a scan that :func:`spill` returned."""
+    drop_written(df)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -12,8 +12,11 @@ from paracorpus.llm import (
     line_quality,
     mixing,
     near_dup,
+    periodic,
     secret_scan,
     simple8b,
+    spelling,
+    suffix_family,
 )
 from paracorpus.llm.common import table
 from paracorpus.session import ensure_checkpoint_dir
@@ -42,6 +45,9 @@ _query("op7_odd_sketch_dedup", near_dup.op7_query, "documents")
 _query("op8_qgram_leaks", decontaminate.op8_query, "documents", "benchmark")
 _query("op9_chat_tree", chat_tree.op9_query, "conversations")
 _query("op10_entropy_mix", mixing.op10_query, "documents")
+_query("op11_partenum_spelling", spelling.op11_query, "documents")
+_query("op12_grammar_runs", periodic.op12_query, "documents")
+_query("op13_suffix_family", suffix_family.op13_query, "documents")
 
 
 def _pipeline(spark, sf_dir):
