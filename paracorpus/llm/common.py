@@ -7,6 +7,7 @@ executor can read them, and a lost executor costs only its running tasks.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from paracorpus.session import drop_written, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: What an operator's tasks keep in a Python worker for the next task.
+WORKER_CACHES: dict[str, object] = {}
 
 
 def spill(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +32,13 @@ def drop_spill(df: DataFrame) -> None:
     drop_written(df)
 
 
+def fresh_worker() -> None:
+    """Free what tasks of other operators keep in this Python worker, as Spark uses it again."""
+    if WORKER_CACHES:
+        WORKER_CACHES.clear()
+        gc.collect()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

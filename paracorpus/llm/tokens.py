@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from paracorpus.llm.common import WORKER_CACHES
+
 #: Cached words and pieces per generation and Python worker; two generations are kept.
 MAX_WORDS, MAX_PIECES = 450_000, 250_000
 #: Bytes of text that are encoded together; each distinct piece in them is looked up once.
@@ -24,7 +26,6 @@ CHUNK_BYTES = 8 << 20
 #: differ for a few characters; words that hold such a character are refused.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _UNSURE = re.compile(r"[\x1c-\x1f\x85]")
-_encoders: dict[str, WordEncoder] = {}
 
 
 class _Cache(dict):
@@ -54,15 +55,19 @@ class WordEncoder:
 
     ``pieces`` maps what follows one space to its ids: a cut before a space
     that follows no blank is always one between words.  ``words`` maps words.
-    Both map to None what they can't be sure of.
+    Both map to None what they can't be sure of.  Strings of added tokens in a
+    text get these tokens' ids, as the library does it; ``special_as_text`` makes
+    them ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if special_as_text else [x.content for x in added if x.content]
         self.words = _Cache(self._word, MAX_WORDS)
         self.pieces = _Cache(self._piece, MAX_PIECES)
 
@@ -101,6 +106,8 @@ class WordEncoder:
         return None if None in ids else b"".join(ids)
 
     def encode(self, text: str) -> bytes:
+        if any(x in text for x in self.special):
+            return self._library(text)
         first, *rest = text.split(" ")
         if not (rest and first[-1:].isspace()):
             start, pieces = self._by_words(first), self.pieces
@@ -137,6 +144,8 @@ class WordEncoder:
         known = [pieces[p] if u else b"" for p, u in zip(distinct, used.tolist(), strict=True)]
         unsure = np.fromiter([k is None for k in known], bool, len(known))
         bad = np.logical_or.reduceat(unsure[index] & rest, starts) if len(index) else np.zeros(0, bool)
+        for x in self.special:
+            bad |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
         heads = []
         for k, place in enumerate(starts.tolist()):
             head = distinct[index[place]]
@@ -159,11 +168,12 @@ class WordEncoder:
         yield from np.split(ids, (ends - n)[starts[1:]])
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, special_as_text: bool = False) -> WordEncoder:
     """The process's encoder for the tokenizer file ``path``."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    held = WORKER_CACHES.setdefault("encoders", {})
+    if (path, special_as_text) not in held:
+        held[path, special_as_text] = WordEncoder(path, special_as_text)
+    return held[path, special_as_text]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:

@@ -36,10 +36,16 @@ TEXTS = [
 def test_ids_are_the_librarys(text):
     path = tokens.tokenizer_path()
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     assert np.frombuffer(tokens.encoder(path).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_strings_of_added_tokens():
+    path = tokens.tokenizer_path()
+    of = lambda special: np.frombuffer(tokens.encoder(path, special).encode("hi <|endoftext|> there"), "<u4").tolist()
+    assert of(False) == [5303, 220, 50256, 612]
+    assert 50256 not in of(True) and of(True)[:3] == [5303, 1279, 91]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_ids_are_the_librarys_for_any_text(text):
@@ -70,7 +76,6 @@ def test_chunks_of_texts(monkeypatch):
 
 def brute(docs):
     tok, out, start = Tokenizer.from_file(tokens.tokenizer_path()), [], 0
-    tok.encode_special_tokens = True
     for key, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         out.append((key, start, len(ids), zlib.crc32(ids.tobytes())))
