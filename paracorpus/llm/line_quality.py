@@ -1,11 +1,14 @@
 """Quality rules: per-document counts and the frequency of lines across documents.
 
 One pass over the texts gives each document its counts and the hashes of its
-normalised lines.  Lines are then counted per host over distinct documents;
-documents with equal text count once, since whole copies are for deduplication
-to judge, and so are near copies: a line counts by the documents that it would
-not deplete.  Lines above the host's limit are removed, and a document that keeps
-too few of its words is rejected.
+normalised lines.  Lines are then counted per host over distinct documents, lines
+above the host's limit are removed, and a document that keeps too few of its words
+is rejected.
+
+Copies are for deduplication to judge: documents with equal text count once, and
+near copies do not count.  Two pages that share so many of their words in common
+lines that they are alike to ``NEAR_PERCENT`` are near copies; a page with less in
+common is its own, with boilerplate around it, however much that is.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paracorpus.llm.common import spill
+from paracorpus.llm.common import fresh_worker, spill
 
 #: Fixed values of the rules.
 SYMBOLS = b"#*$%&|<>"
@@ -27,16 +30,20 @@ MAX_REPEAT_PERCENT = 50
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 #: A line is frequent in a host if it occurs in more distinct documents than this,
-#: whatever the host's size ...
+#: whatever the host's size.
 MIN_DOCUMENTS = 6
-#: ... and in more than this share of the host's distinct documents.
-MAX_SHARE = 0.0
+#: Similarity of near copies.  Two texts of n words that share s of them are alike
+#: to s / (2 n - s), so near copies share this percentage of their words.
+NEAR_PERCENT = 80
+NEAR_SHARED_PERCENT = 200 * NEAR_PERCENT / (100 + NEAR_PERCENT)
 #: A document is depleted if frequent lines hold more than this percentage of its words.
 MAX_REMOVED_PERCENT = 70
 
+#: Texts of an Arrow batch that are measured at a time.
+SLICE_ROWS = 512
 _SCHEMA = (
     "doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, lines array<bigint>, line_words array<bigint>"
+    "n_dup_lines long, n_repeat_words long, lines array<bigint>, line_words array<bigint>, line_places array<array<int>>"
 )
 
 
@@ -68,34 +75,37 @@ def repeat_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def measure(text: str | None) -> tuple[int, int, int, int, int, list[int], list[int]]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; distinct line hashes and their words."""
+def measure(text: str | None) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; distinct line hashes, their words and their places."""
     if not text:
-        return 0, 0, 0, 0, 0, [], []
+        return 0, 0, 0, 0, 0, [], [], []
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()  # of bytes: at the six ASCII blanks
     word_chars = len(text) - (len(raw) - len(raw.translate(None, BLANKS)))
     n_symbols = len(raw) - len(raw.translate(None, SYMBOLS))
     seen: set[str] = set()
-    duplicates, held = 0, {}
-    for line in text.split("\n"):
+    duplicates, held, places = 0, {}, {}
+    for k, line in enumerate(text.split("\n")):
         n = len(line.encode("utf-8", "surrogatepass").split())
         if n:
             duplicates += line in seen
             seen.add(line)
             h = line_hash(line)
             held[h] = held.get(h, 0) + n
-    return len(words), word_chars, n_symbols, duplicates, repeat_words(words), list(held), list(held.values())
+            places.setdefault(h, []).append(k)
+    return len(words), word_chars, n_symbols, duplicates, repeat_words(words), list(held), list(held.values()), list(places.values())
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [measure(t.as_py()) for t in batch.column(3)]
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
-            values = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *values], names=names)
+        fresh_worker()
+        for whole in batches:
+            for begin in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(begin, SLICE_ROWS)
+                columns = zip(*[measure(t.as_py()) for t in batch.column(3)], strict=True)
+                kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 + [pa.list_(pa.list_(pa.int32()))]
+                values = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *values], names=names)
 
     names = [x.split()[0] for x in _SCHEMA.split(", ")]
     text = F.col(text_col)
@@ -109,26 +119,22 @@ def host_key(host: Column) -> Column:
     return F.when(host.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), host.cast("string")))
 
 
-def frequent_lines(entries: DataFrame, texts: DataFrame, min_documents: int, max_share: float) -> DataFrame:
-    """(host, line, documents, most) of lines in more distinct documents of a host than its limit."""
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(float(min_documents)), F.count(F.lit(1)) * max_share).alias("most"))
-    counted = entries.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > min_documents)
-    return counted.join(limits, "host").filter("documents > most")
-
-
 def _removed(entries: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(host, text_hash, removed_words, removed_lines) of the texts that hold frequent lines."""
+    """(host, text_hash, removed_words, removed_lines, removed_places) of the texts that hold frequent lines."""
     held = entries.join(frequent.select("host", "line"), ["host", "line"])
-    return held.groupBy("host", "text_hash").agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
+    return held.groupBy("host", "text_hash").agg(
+        F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"), F.flatten(F.collect_list("places")).alias("removed_places")
+    )
 
 
-def beside_content(frequent: DataFrame, entries: DataFrame, texts: DataFrame, max_removed_percent: int) -> DataFrame:
-    """The frequent lines without those that pass the limit only by documents that
-    they would deplete: near copies share their content, which isn't boilerplate."""
-    lost = _removed(entries, frequent).join(texts.select("host", "text_hash", "n_words"), ["host", "text_hash"])
-    depleted = lost.filter(F.col("removed_words") * 100 > F.col("n_words") * max_removed_percent).select("host", F.explode("removed_lines").alias("line"))
-    inside = depleted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("inside"))
-    return frequent.join(inside, ["host", "line"], "left").filter("documents - coalesce(inside, 0) > most").select("host", "line")
+def frequent_lines(entries: DataFrame, texts: DataFrame, min_documents: int) -> DataFrame:
+    """(host, line) in more than ``min_documents`` distinct documents of a host that are not near copies."""
+    common = entries.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > min_documents)
+    common = spill(common, "line_common")
+    shared = _removed(entries, common).join(texts.select("host", "text_hash", "n_words"), ["host", "text_hash"])
+    copies = shared.filter(F.col("removed_words") * 100 > F.col("n_words") * NEAR_SHARED_PERCENT).select("host", F.explode("removed_lines").alias("line"))
+    among = copies.groupBy("host", "line").agg(F.count(F.lit(1)).alias("among"))
+    return common.join(among, ["host", "line"], "left").filter(F.col("documents") - F.coalesce("among", F.lit(0)) > min_documents).select("host", "line")
 
 
 def line_rules(
@@ -137,11 +143,11 @@ def line_rules(
     text_col: str = "text",
     host_col: str = "source",
     min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
     max_removed_percent: int = MAX_REMOVED_PERCENT,
 ) -> DataFrame:
     """One row per input row: counts, ``base_failed``, ``removed_words``, ``removed_lines``
-    (hashes), ``kept``, and the keys host and text_hash.
+    (hashes), ``removed_places`` (numbers of ``\\n``-split lines), ``kept``, and the keys
+    host and text_hash.
 
     Null and empty texts have no words and fail the base rules.  Repeated rows
     get equal verdicts and count as one document, as do all equal texts of a
@@ -149,13 +155,12 @@ def line_rules(
     result; other columns are ignored.
     """
     base = spill(measured(docs, id_col, text_col, host_col), "line_base")
-    texts = spill(base.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"), F.first("n_words").alias("n_words")), "line_texts")
-    each = F.explode(F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))).alias("e")
-    entries = texts.select("host", "text_hash", each).select("host", "text_hash", F.col("e.line").alias("line"), F.col("e.words").alias("words"))
-    frequent = spill(frequent_lines(entries, texts, min_documents, max_share), "line_frequent")
-    frequent = spill(beside_content(frequent, entries, texts, max_removed_percent), "line_beside")
-    removed = _removed(entries, frequent)
-    out = base.drop("lines", "line_words").join(removed, ["host", "text_hash"], "left")
+    held = F.first(F.struct(F.col("lines").alias("line"), F.col("line_words").alias("words"), F.col("line_places").alias("places"), "n_words"))
+    texts = base.groupBy("host", "text_hash").agg(held.alias("t"))
+    texts = spill(texts.select("host", "text_hash", "t.n_words", F.arrays_zip("t.line", "t.words", "t.places").alias("entries")), "line_texts")
+    entries = texts.select("host", "text_hash", F.inline("entries"))
+    frequent = spill(frequent_lines(entries, texts, min_documents), "line_frequent")
+    out = base.drop("lines", "line_words", "line_places").join(_removed(entries, frequent), ["host", "text_hash"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     lost = F.coalesce("removed_words", F.lit(0))
     return out.withColumns(
@@ -167,31 +172,21 @@ def line_rules(
     )
 
 
-def without_frequent_lines(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str = "n_chars") -> DataFrame:
+def without_frequent_lines(docs: DataFrame, rules: DataFrame, text_col: str = "text", host_col: str = "source", length_col: str = "n_chars") -> DataFrame:
     """The kept rows of ``docs`` with their frequent lines removed, columns unchanged.
 
     ``rules`` is the result of :func:`line_rules` on ``docs``.  Verdicts belong to
     (host, text), so a row finds its own by those keys.
     """
-    verdicts = rules.filter("kept").groupBy("host", "text_hash").agg(F.first("removed_lines").alias("__removed"))
+    verdicts = rules.filter("kept").groupBy("host", "text_hash").agg(F.first("removed_places").alias("__removed"))
     verdicts = spill(verdicts.select(F.col("host").alias("__host"), F.col("text_hash").alias("__hash"), "__removed"), "line_verdicts")
-    keyed = docs.withColumns({"__h": host_key(F.col(host_col)), "__x": F.xxhash64(F.col(text_col))})
-    joined = keyed.join(verdicts, (F.col("__h") == F.col("__host")) & (F.col("__x") == F.col("__hash")))
-
-    @F.pandas_udf("string")
-    def strip(texts, removed):
-        out = []
-        for text, hashes in zip(texts, removed, strict=True):
-            if text and hashes is not None and len(hashes):
-                drop = set(hashes)
-                text = "\n".join([x for x in text.split("\n") if line_hash(x) not in drop])
-            out.append(text)
-        return type(texts)(out, dtype=object)
-
-    text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(strip(F.col(text_col), F.col("__removed")))
-    changed = {c: text.alias(c) for c in [text_col]}
-    out = joined.select(*[changed.get(c, F.col(c)) for c in docs.columns])
-    return out.withColumn(length_col, F.char_length(text_col).cast(docs.schema[length_col].dataType)) if length_col in docs.columns else out
+    joined = docs.join(verdicts, (host_key(F.col(host_col)) == F.col("__host")) & (F.xxhash64(F.col(text_col)) == F.col("__hash")))
+    left = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, k: ~F.array_contains(F.col("__removed"), k))
+    text = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    changed = {text_col: text}
+    if length_col in docs.columns:
+        changed[length_col] = F.char_length(text).cast(docs.schema[length_col].dataType)
+    return joined.select(*[changed[c].alias(c) if c in changed else docs[c] for c in docs.columns])
 
 
 def op4_query(docs: DataFrame) -> DataFrame:
