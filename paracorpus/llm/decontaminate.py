@@ -4,7 +4,12 @@ A passage of m characters that occurs in a text with at most k edits shares at
 least ``m - q + 1 - k * q`` q-grams with it, and all of them lie on diagonals
 (text position minus passage position) at most k apart.  The shared q-grams of
 every document are counted in diagonal bands that overlap by k; bands that
-reach the passage's bound are verified by banded alignment.
+reach the passage's bound are verified by banded alignment, many at a time.
+
+The lemma holds for any part of a passage's q-grams too: of r of them at least
+``r - k * q`` are shared.  So q-grams that many passages have (a common prompt) are
+left out where the rest still gives a bound, and cost nothing in texts that hold
+only them.  q is 12, or the largest smaller one that gives a passage a bound.
 
 The benchmark is the query set: it is indexed in blocks of bounded size and
 every block is compared with all documents, so no document is shuffled.
@@ -19,11 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paracorpus.llm.common import spill
+from paracorpus.llm.common import fresh_worker, spill
 
-#: q-gram length and edits per passage character.
+#: q-gram length, shorter ones for passages that it gives no bound, and edits per passage character.
 Q = 12
+SHORTER = (10, 8, 6, 4)
 EDIT_RATE = 0.05
+#: A q-gram of more passages than this is common.
+COMMON = 16
+#: Candidates that are aligned at a time.
+ALIGNED = 2048
 #: Characters of benchmark text in one index block.
 BLOCK_CHARS = 4_000_000
 #: Characters of documents that are searched at a time.
@@ -58,20 +68,20 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def gram_hashes(chars: np.ndarray) -> np.ndarray:
-    """64-bit hash of every q-gram: polynomials of doubling windows, joined for Q."""
-    if len(chars) < Q:
+def gram_hashes(chars: np.ndarray, q: int) -> np.ndarray:
+    """64-bit hash of every q-gram: polynomials of doubling windows, joined for ``q``."""
+    if len(chars) < q:
         return np.zeros(0, np.uint64)
     grown, width, done, used = chars.astype(np.uint64) + np.uint64(1), 1, None, 0
     while True:
-        if Q & width:
+        if q & width:
             done = grown if done is None else done[: len(grown) - used] + grown[used:] * _power(used)
             used += width
-        if 2 * width > Q:
+        if 2 * width > q:
             break
         grown = grown[:-width] + grown[width:] * _power(width)
         width *= 2
-    h = done[: len(chars) - Q + 1]
+    h = done[: len(chars) - q + 1]
     return h ^ (h >> np.uint64(29))
 
 
@@ -79,29 +89,18 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 1 << 64))
 
 
-class PassageIndex:
-    """The q-grams of one block of passages."""
+class _Grams:
+    """The q-grams of those passages that are searched by one q, for texts of many passages."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.ids = [i for i, _ in items]
-        self.texts = [normal(t) for _, t in items]
-        lengths = np.array([len(t) for t in self.texts], np.int64)
-        #: edits: the rate, or fewer where the bound would not be positive
-        self.edits = np.maximum(np.minimum((lengths * rate).astype(np.int64), (lengths - Q) // Q), 0)
-        self.bound = np.maximum(lengths - Q + 1 - self.edits * Q, 1)
-        self.shift = np.array([int(k).bit_length() for k in self.edits], np.int64)  # band width: 2**shift > edits
-        grams, item, place = [], [], []
-        for k, t in enumerate(self.texts):
-            if len(t) >= Q:
-                h = gram_hashes(codes(t))
-                grams.append(h), item.append(np.full(len(h), k)), place.append(np.arange(len(h)))
-        self.short = [k for k, t in enumerate(self.texts) if 0 < len(t) < Q]
-        grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(grams, kind="stable")
-        self.grams, self.first = np.unique(grams[order], return_index=True)
-        self.last = np.append(self.first[1:], len(grams))
-        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if place else np.zeros(0, np.int64)
+    def __init__(self, q: int, numbers: list[int], grams: list[np.ndarray], bounds: list[int], places: list[np.ndarray]):
+        self.q = q
+        hashes = np.concatenate(grams)
+        order = np.argsort(hashes, kind="stable")
+        self.grams, self.first = np.unique(hashes[order], return_index=True)
+        self.last = np.append(self.first[1:], len(hashes))
+        self.item = np.repeat(numbers, [len(g) for g in grams])[order]
+        self.place = np.concatenate(places)[order]
+        self.bound = dict(zip(numbers, bounds, strict=True))
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[self._slot(self.grams)] = True
 
@@ -112,8 +111,8 @@ class PassageIndex:
     def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text place, item, item place) of all shared q-grams."""
         at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for begin in range(0, max(len(chars) - Q + 1, 0), CHUNK_CHARS):
-            h = gram_hashes(chars[begin : begin + CHUNK_CHARS + Q - 1])
+        for begin in range(0, max(len(chars) - self.q + 1, 0), CHUNK_CHARS):
+            h = gram_hashes(chars[begin : begin + CHUNK_CHARS + self.q - 1], self.q)
             near = np.flatnonzero(self.table[self._slot(h)])
             k = np.searchsorted(self.grams, h[near])
             same = np.flatnonzero((k < len(self.grams)) & (self.grams[np.minimum(k, len(self.grams) - 1)] == h[near]))
@@ -124,31 +123,90 @@ class PassageIndex:
         which = np.repeat(self.first[found], times) + np.arange(total) - np.repeat(np.cumsum(times) - times, times)
         return np.repeat(at, times), self.item[which], self.place[which]
 
-    def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text number, item number, start, end, edits) in normalised texts, best of overlapping ones."""
-        joined = "\x00".join(texts)
-        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])[: len(texts)]
-        at, item, place = self.hits(codes(joined)) if len(self.grams) else (np.zeros(0, np.int64),) * 3
+
+def _searches(texts: list[str], edits: np.ndarray) -> list[_Grams]:
+    """Every passage of ``SHORTER[-1]`` characters by one q with a positive bound.
+
+    The largest q whose rare grams alone give a bound is best; else the largest q
+    whose grams do.
+    """
+    dealt: dict[int, tuple[list, list, list, list]] = {}
+    waiting = [k for k, t in enumerate(texts) if t]
+    for every in (False, True):
+        for q in (Q, *SHORTER):
+            rest, mine = [], dealt.setdefault(q, ([], [], [], []))
+            hashes = {k: gram_hashes(codes(texts[k]), q) for k in waiting}
+            if not every and waiting:
+                distinct = np.concatenate([np.unique(h) for h in hashes.values()])
+                value, count = np.unique(distinct, return_counts=True)
+                common = value[count > COMMON]
+            for k in waiting:
+                h = hashes[k]
+                rare = np.arange(len(h)) if every else np.flatnonzero(~np.isin(h, common))
+                bound = len(rare) - int(edits[k]) * q
+                if bound < 1:
+                    rest.append(k)
+                    continue
+                mine[0].append(k), mine[1].append(h[rare]), mine[2].append(bound), mine[3].append(rare)
+            waiting = rest
+    return [_Grams(q, *x) for q, x in dealt.items() if x[0]]
+
+
+class PassageIndex:
+    """The q-grams of one block of passages."""
+
+    def __init__(self, items: list[tuple[int, str]], rate: float):
+        self.ids = [i for i, _ in items]
+        self.texts = [normal(t) for _, t in items]
+        self.codes = [codes(t) for t in self.texts]
+        lengths = np.array([len(t) for t in self.texts], np.int64)
+        #: edits: the rate, or fewer where no q gives a bound
+        self.edits = np.maximum(np.minimum((lengths * rate).astype(np.int64), lengths // SHORTER[-1] - 1), 0)
+        self.shift = np.array([int(k).bit_length() for k in self.edits], np.int64)  # band width: 2**shift > edits
+        self.searches = _searches(self.texts, self.edits)
+        sought = {k for s in self.searches for k in s.bound}
+        self.short = [k for k, t in enumerate(self.texts) if t and k not in sought]
+
+    def _bands(self, search: _Grams, chars: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, item, band) of the bands that reach their passage's bound."""
+        at, item, place = search.hits(chars)
         text = np.searchsorted(starts, at, side="right") - 1
-        reach = self.edits[item]
+        reach, shift = self.edits[item], self.shift[item]
         diagonal = at - starts[text] - place + reach  # none that counts is negative
-        shift = self.shift[item]
         ok = diagonal >= 0
         band, rest = diagonal >> shift, diagonal & ((1 << shift) - 1)
-        pair = text * len(self.ids) + item
-        upper, lower = np.flatnonzero(ok), np.flatnonzero(ok & (rest < reach) & (band > 0))
-        keys = np.concatenate([pair[upper] << 32 | band[upper], pair[lower] << 32 | (band[lower] - 1)])
-        key, count = np.unique(keys, return_counts=True)
-        key = key[count >= self.bound[(key >> 32) % max(len(self.ids), 1)]]
+        lower = np.flatnonzero(ok & (rest < reach) & (band > 0))
+        upper = np.flatnonzero(ok)
+        hit, band = np.concatenate([upper, lower]), np.concatenate([band[upper], band[lower] - 1])
+        order = np.lexsort((band, item[hit], text[hit]))
+        text, item, band = text[hit][order], item[hit][order], band[order]
+        new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1]))[: len(order)]
+        begin = np.flatnonzero(new)
+        count = np.diff(np.append(begin, len(order)))
+        bound = np.array([search.bound[k] for k in item[begin].tolist()], np.int64)
+        begin = begin[count >= bound]
+        return text[begin], item[begin], band[begin]
+
+    def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(text number, item number, start, end, edits) in normalised texts, best of overlapping ones."""
+        chars = codes("\x00".join(texts))
+        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])[: len(texts)]
         out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for k in key.tolist():
-            t, i = divmod(k >> 32, len(self.ids))
-            edits, width = int(self.edits[i]), 1 << int(self.shift[i])
-            low = (k & 0xFFFFFFFF) * width - edits  # the band's diagonals in text places
-            begin = max(0, low - edits)
-            window = texts[t][begin : low + width + 2 * edits + len(self.texts[i])]
-            if (found := align(self.texts[i], window, edits)) is not None:
-                out.setdefault((t, i), []).append((found[2], begin + found[0], begin + found[1]))
+        for search in self.searches:
+            found = self._bands(search, chars, starts)
+            for k in range(0, len(found[0]), ALIGNED):
+                some = [x[k : k + ALIGNED].tolist() for x in found]
+                windows, begins = [], []
+                for t, i, band in zip(*some, strict=True):
+                    edits, width = int(self.edits[i]), 1 << int(self.shift[i])
+                    low = band * width - edits  # the band's diagonals in text places
+                    begins.append(max(0, low - edits))
+                    stop = min(low + width + 2 * edits + len(self.texts[i]), len(texts[t]))
+                    windows.append(chars[starts[t] + begins[-1] : starts[t] + max(stop, begins[-1])])
+                aligned = align([self.codes[i] for i in some[1]], windows, self.edits[some[1]])
+                for t, i, begin, region in zip(some[0], some[1], begins, aligned, strict=True):
+                    if region is not None:
+                        out.setdefault((t, i), []).append((region[2], begin + region[0], begin + region[1]))
         for i in self.short:
             for t, body in enumerate(texts):
                 p = body.find(self.texts[i])
@@ -177,44 +235,55 @@ def _ends(passage: np.ndarray, window: np.ndarray, free_start: bool) -> np.ndarr
     return row
 
 
-def align(passage: str, window: str, edits: int) -> tuple[int, int, int] | None:
-    """(start, end, edits) of the best region of the window within ``edits`` of the passage.
+def align(passages: list[np.ndarray], windows: list[np.ndarray], edits: np.ndarray) -> list[tuple[int, int, int] | None]:
+    """(start, end, edits) of the best region of each window within ``edits`` of its passage.
 
     The window is the band's stretch of text, little longer than the passage.
-    Rows are computed over the diagonals of the band only.
+    Rows are computed over the diagonals of the bands only, for all pairs at once.
     """
-    p = window.find(passage)
-    if p >= 0:
-        return p, p + len(passage), 0
-    if not edits:
-        return None
-    forward = _banded(codes(passage), codes(window), edits)
-    if forward is None:
-        return None
-    end, cost = forward
-    back = _ends(codes(passage)[::-1], codes(window)[max(0, end - len(passage) - edits) : end][::-1], False)
-    return end - int(np.argmin(back)), end, cost
-
-
-def _banded(passage: np.ndarray, window: np.ndarray, edits: int) -> tuple[int, int] | None:
-    """(end, edits) of the best region: only diagonals from -edits to the spare length count."""
-    m, n = len(passage), len(window)
-    width = max(n - m, 0) + 2 * edits + 1  # diagonals -edits .. n - m + edits
-    diagonals = np.arange(width)
-    padded = np.concatenate([np.full(edits, 0xFFFFFFFF, np.uint32), window, np.full(m + width, 0xFFFFFFFF, np.uint32)])
-    far = m + n + 1
-    row = np.where(diagonals >= edits, 0, far)  # free start; no place before the window
-    for k in range(m):
-        cross = row + (padded[k : k + width] != passage[k])
-        above = np.append(row[1:] + 1, far)
-        row = np.minimum(cross, above)
-        row = np.minimum.accumulate(row - diagonals) + diagonals
-        if row.min() > edits:
-            return None
-    place = diagonals - edits + m
-    row = np.where((place >= 0) & (place <= n), row, far)
-    best = int(np.argmin(row))
-    return (int(place[best]), int(row[best])) if row[best] <= edits else None
+    out: list[tuple[int, int, int] | None] = [None] * len(passages)
+    if not passages:
+        return out
+    ends, costs = _banded(passages, windows, edits)
+    for k in np.flatnonzero(costs <= edits).tolist():
+        passage, end = passages[k], int(ends[k])
+        back = _ends(passage[::-1], windows[k][max(0, end - len(passage) - int(edits[k])) : end][::-1], False)
+        out[k] = end - int(np.argmin(back)), end, int(costs[k])
+    return out
+
+
+def _banded(passages: list[np.ndarray], windows: list[np.ndarray], edits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(end, edits) of the best region of each window: only diagonals from -edits to the spare length count."""
+    m, n = (np.array([len(x) for x in y], np.int64) for y in (passages, windows))
+    longest, margin = int(m.max()), int(edits.max())
+    width = int((np.maximum(n - m, 0) + 2 * edits).max()) + 1  # diagonals -edits .. n - m + edits
+    pattern = np.full((longest, len(m)), 0xFFFFFFFE, np.uint32)
+    padded = np.full((len(m), margin + longest + width + int(n.max())), 0xFFFFFFFF, np.uint32)
+    for k, (p, w) in enumerate(zip(passages, windows, strict=True)):
+        pattern[: len(p), k] = p
+        padded[k, int(edits[k]) : int(edits[k]) + len(w)] = w
+    diagonals = np.arange(width, dtype=np.int32)
+    far = np.int32(1 << 29)
+    row = np.where(diagonals >= edits[:, None], np.int32(0), far)  # free start; no place before the window
+    last = row.copy()
+    alive = np.arange(len(m))
+    for k in range(longest):
+        cross = row + (padded[alive, k : k + width] != pattern[k, alive, None])
+        np.minimum(cross[:, :-1], row[:, 1:] + 1, out=cross[:, :-1])
+        row = np.minimum.accumulate(cross - diagonals, axis=1) + diagonals
+        done = m[alive] == k + 1
+        last[alive[done]] = row[done]
+        going = ~done & (row.min(axis=1) <= edits[alive])
+        last[alive[~done & ~going]] = far
+        if not going.all():
+            alive, row = alive[going], row[going]
+            if not len(alive):
+                break
+    place = diagonals - edits[:, None] + m[:, None]
+    last = np.where((place >= 0) & (place <= n[:, None]), last, far)
+    best = np.argmin(last, axis=1)
+    each = np.arange(len(m))
+    return place[each, best], last[each, best].astype(np.int64)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -240,7 +309,8 @@ def contaminations(
     blanks are set aside; start and end are code points of the original text.
 
     Overlapping regions of one passage give the one with the fewest edits, ties
-    the first.  Passages shorter than ``Q`` characters are searched exactly.
+    the first.  Passages under 20 characters have no edits and those under
+    ``SHORTER[-1]`` are searched as they are.
     Null, empty and blank texts and passages match nothing; repeated rows give
     their regions each; an empty table gives an empty result; other columns are
     ignored.  The driver holds one block of passages at a time.
@@ -257,6 +327,7 @@ def contaminations(
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         items, rate = shared.value
         index = PassageIndex(items, rate)
 
@@ -290,10 +361,16 @@ def _search(shared):
     return run
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark passage; a row without id stays if clean."""
-    hit = spill(contaminations(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("__hit")).distinct(), "leaks")
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["__hit"]), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark passage.
+
+    Rows are judged by id and text: a row stays or goes by its own text, also
+    where it has no id or shares it with other rows.
+    """
+    key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col))
+    keyed = docs.select(key.alias("__key"), F.col(text_col).alias("__text"))
+    hit = spill(contaminations(keyed, benchmark, "__key", "__text", **options).select(F.col("doc_id").alias("__hit")).distinct(), "leaks")
+    return docs.join(hit, key == F.col("__hit"), "left_anti")
 
 
 def op8_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -45,6 +45,35 @@ def test_regions_against_brute_force():
             assert least_edits(index.texts[i], text[a:b]) == n
 
 
+def test_passages_of_20_to_23_characters_take_an_edit():
+    for length in (20, 21, 22, 23):
+        passage = "abcdefghijklmnopqrstuvw"[:length]
+        index = decontaminate.PassageIndex([(1, passage)], decontaminate.EDIT_RATE)
+        for k in range(length):
+            text = f"before {passage[:k]}#{passage[k + 1 :]} after"
+            assert [r[4] for r in index.search([text])] == [1]
+        assert index.search([f"{passage[:3]}##{passage[5:]}"]) == []
+
+
+def test_more_pairs_than_32_bits():
+    passages = [(i, f"{i:016d}".translate(str.maketrans("0123456789", "abcdefghij")) * 2) for i in range(120_000)]
+    index = decontaminate.PassageIndex(passages, decontaminate.EDIT_RATE)
+    texts = [f"text {k}" for k in range(22_000)]
+    for k in (5, 21_000):
+        texts[k] += " " + passages[119_000 + k % 900][1]
+    assert {(r[0], r[1]) for r in index.search(texts) if r[4] == 0} == {(k, 119_000 + k % 900) for k in (5, 21_000)}
+
+
+def test_many_passages_with_one_prompt():
+    prompt = "read the question and choose the answer: "
+    rng = random.Random(2)
+    tail = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60))
+    passages = [(i, prompt + tail()) for i in range(2000)]
+    index = decontaminate.PassageIndex(passages, decontaminate.EDIT_RATE)
+    texts = [prompt + tail() for _ in range(200)] + [f"xy {passages[k][1]} z" for k in (3, 1999)]
+    assert [(r[0], r[1], r[4]) for r in index.search([decontaminate.normal(t) for t in texts])] == [(200, 3, 0), (201, 1999, 0)]
+
+
 def test_query_on_the_tables(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
     bench = spark.read.parquet(f"{sf001}/benchmark.parquet")
@@ -92,3 +121,5 @@ def test_awkward_rows(spark):
     assert rows(decontaminate.contaminations(docs, bench.limit(0))) == []
     kept = decontaminate.clean_documents(docs, bench.filter("item_id = 1"))
     assert kept.columns == docs.columns and kept.count() == 7
+    mixed = documents(spark, [(None, "a plain text with some words in it"), (None, "clean"), (1, "clean too"), (1, "say: a plain text with some words in it")])
+    assert sorted(r["text"] for r in decontaminate.clean_documents(mixed, bench.filter("item_id = 1")).collect()) == ["clean", "clean too"]
