@@ -64,6 +64,8 @@ MAX_DEPTH = 256
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>\x00]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
+#: What ends without ">": comments and declarations up to the end of the page.
+_OPEN = re.compile(r"<[!?].*(?P<tag>(?!))?", re.S)
 _ATTR = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _INVISIBLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -89,8 +91,9 @@ def parse(html: str) -> Node:
     root = Node("html", {})
     stack = [root]
     at, n = 0, len(html)
+    last = html.rfind(">")  # no tag begins after it
     while at < n:
-        m = _TOKEN.search(html, at)
+        m = (_TOKEN if at <= last else _OPEN).search(html, at)
         if m is None:
             stack[-1].children.append(unescape(html[at:]))
             break
@@ -195,10 +198,18 @@ def visible(node: Node) -> bool:
     return not ("style" in node.attrs and _INVISIBLE.search(node.attrs["style"]))
 
 
+def shown(node: Node) -> list[Node | str]:
+    """The children; of details that are closed, the first summary only."""
+    if node.tag != "details" or "open" in node.attrs:
+        return node.children
+    return [x for x in node.children if not isinstance(x, str) and x.tag == "summary"][:1]
+
+
 class Flow:
     """Lines of one block; blanks collapse at the seams of inline texts."""
 
-    def __init__(self) -> None:
+    def __init__(self, in_list: bool = False) -> None:
+        self.in_list = in_list  # lists in lists stand without blank lines around
         self.lines: list[str] = []
         self.line: list[str] = []
         self.space = True  # the line so far ends with a blank, or is empty
@@ -236,7 +247,7 @@ class Flow:
 
 
 def render(node: Node, flow: Flow, pre: bool = False) -> None:
-    for child in node.children:
+    for child in shown(node):
         if isinstance(child, str):
             if node.kind == "svg" and node.tag != "foreignobject":
                 continue  # shown in text elements only
@@ -318,7 +329,7 @@ def _closed(flow: Flow, pre: bool = False) -> list[str]:
 
 
 def _list(node: Node, flow: Flow, ordered: bool) -> None:
-    flow.block(True)
+    flow.block(not flow.in_list)
     start = node.attrs.get("start", "1")
     number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
     for child in node.children:
@@ -327,19 +338,19 @@ def _list(node: Node, flow: Flow, ordered: bool) -> None:
             continue
         if not visible(child):
             continue
-        inner = Flow()
+        inner = Flow(in_list=True)
         render(child if child.tag == "li" else _only(child), inner)
         flow.end_line()
-        lines = [x for x in _closed(inner) if x]
+        lines = _closed(inner)
         if child.tag != "li":
             if lines:
-                flow.put(["  " + x for x in lines])
+                flow.put(["  " + x if x else x for x in lines])
             continue
         mark = f"{number}. " if ordered else "- "
         number += 1
         if lines:
-            flow.put([(mark if k == 0 else " " * len(mark)) + x for k, x in enumerate(lines)])
-    flow.block(True)
+            flow.put([(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(lines)])
+    flow.block(not flow.in_list)
 
 
 def _only(node: Node | str) -> Node:

@@ -12,7 +12,12 @@ CASES = {
     "<div>a<div>b</div>c</div>": "a\nb\nc",
     "a <b> b</b>  c": "a b c",
     "<ul><li>a<li>b<ul><li>c</ul><li>d</ul>": "- a\n- b\n  - c\n- d",
-    "<ol start=3><li>x<li><p>y</p><p>z</p></ol>": "3. x\n4. y\n   z",
+    "<ol start=3><li>x<li><p>y</p><p>z</p></ol>": "3. x\n4. y\n\n   z",
+    "<ul><li><pre>a\n\nb</pre><li>c</ul>": "- a\n\n  b\n- c",
+    "<ul><li>a<ul><li><p>b<p>c</ul>d<li>e</ul>f": "- a\n  - b\n\n    c\n  d\n- e\n\nf",
+    "<details open><summary>s</summary>t</details><details>u<summary>v</summary><summary>w</summary></details>": "s\nt\nv",
+    "a<b>c<!-- <b>d": "ac",
+    "a<b>c<!x": "ac",
     "x<br>y<br><br>z": "x\ny\n\nz",
     "<table><tr><th>Name<th>Qty<tr><td>Apple<td>3<tr><td>Kiwi fruit<td>12<br>more</table>": "Name        Qty\nApple       3\nKiwi fruit  12\n            more",
     "<table><tr><td colspan=2>wide<td>c<tr><td>a<td>b<td>d</table>": "wide     c\na     b  d",
@@ -26,7 +31,7 @@ CASES = {
     "<dl><dt>t<dd>d</dl>after": "t\n  d\n\nafter",
     "<blockquote>q<p>r</blockquote>s": "  q\n\n  r\n\ns",
     "a<hr>b": "a\n\n---\n\nb",
-    "<dialog>no</dialog><details><summary>s</summary>t</details>": "s\nt",
+    "<dialog>no</dialog><details><summary>s</summary>t</details>": "s",
     "<a href='x>y'>link</a></p></div>end": "linkend",
     "<table><td>x</td><td>y</td><tbody><td>z</table>": "x  y\nz",
     "<table>stray<tr><td>a</table>": "stray\na",
@@ -51,6 +56,11 @@ def test_deep_and_broken_markup():
     assert html_layout.page_text("</p></td></li>x<") == "x<"
 
 
+def test_many_unclosed_tags():
+    page = "<p>x</p>" + "<a " * 400_000
+    assert html_layout.page_text(page) == "x\n\n" + ("<a " * 400_000).rstrip()
+
+
 def words(text):
     return re.findall(r"\w+", text)
 
