@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paracorpus.llm.common import shuffle_partitions, spill
+from paracorpus.llm.common import drop_spill, fresh_worker, shuffle_partitions, spill
 
 #: Probability that no band of a pair at the threshold agrees.
 MISSED = 3e-7
@@ -149,7 +149,7 @@ def most_differing(threshold: float) -> int:
     return int(SKETCH_BITS / 2 * (1 - np.exp(-2 * differ / SKETCH_BITS)))
 
 
-_SIGNED = "id long, n_shingles long, set_hash binary, bands array<bigint>, sketch array<bigint>"
+_SIGNED = "id long, text_hash long, n_shingles long, set_hash binary, bands array<bigint>, sketch array<bigint>"
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
@@ -157,7 +157,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Dat
     n_bands, n_rows = banding(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        fresh_worker()
+        for batch in (whole.slice(k, 512) for whole in batches for k in range(0, whole.num_rows, 512)):
             sizes, hashes, bands, sketches = [], [], [], []
             for text in batch.column(1):
                 grams = shingles(text.as_py())
@@ -171,17 +172,19 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Dat
                 sketches.append(odd_sketch(samples))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)],
-                names=["id", "n_shingles", "set_hash", "bands", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)],
+                names=["id", "text_hash", "n_shingles", "set_hash", "bands", "sketch"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sign, _SIGNED)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.mapInArrow(sign, _SIGNED)
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
     """(id, grams) of (id, text): the full shingle sets."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
@@ -228,6 +231,7 @@ def components(links: DataFrame) -> DataFrame:
         merged = labels.join(best, "id").select("id", "label", F.least("label", "theirs").alias("low"))
         root = labels.select(F.col("id").alias("low"), F.col("label").alias("lower"))
         step = spill(merged.join(root, "low").select("id", "lower", (F.col("lower") < F.col("label")).alias("moved")), "dup_labels")
+        drop_spill(labels)
         labels = step.select("id", F.col("lower").alias("label"))
         if step.filter("moved").limit(1).count() == 0:
             return labels
@@ -308,7 +312,7 @@ def _mixed_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, limit:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """One row per input row: (id, n_shingles, component_id, kept).
+    """One row per input row: (id, n_shingles, component_id, kept, text_hash).
 
     Texts whose shingle sets have ``100 * shared >= percent * union`` are linked;
     ``component_id`` is the smallest id reachable and ``kept`` tells whether it
@@ -345,10 +349,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = links.unionByName(more)
             labels = components(links)
 
-    own = signed.select("id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
+    own = signed.select("id", "text_hash", "n_shingles", "set_hash").join(classes, "set_hash", "left")
     final = own.join(labels.withColumnRenamed("id", "node"), "node", "left")
     component = F.coalesce("label", "node", "id")
-    return final.select("id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return final.select("id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), "text_hash")
 
 
 def _alike(pairs: DataFrame, sketches: DataFrame, limit: int, percent: int) -> DataFrame:
@@ -361,4 +365,4 @@ def _alike(pairs: DataFrame, sketches: DataFrame, limit: int, percent: int) -> D
 
 
 def op7_query(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).withColumnRenamed("id", "doc_id")
+    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
