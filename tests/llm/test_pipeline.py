@@ -24,9 +24,9 @@ def test_stages_against_brute_force(spark, sf001, tmp_path):
             assert docs.columns == columns
     read, quality, unique, clean, mix, final = steps
 
-    ok = test_line_quality.brute([(d, t, s) for d, t, _, s, _ in read], 50, 0.02, 70)
+    ok = test_line_quality.brute([(d, t, s) for d, t, _, s, _ in read])
     assert sorted(r[0] for r in quality) == sorted(r[0] for r in ok if r[7])
-    groups = test_near_dup.brute([(r[0], r[1]) for r in quality])
+    groups = test_near_dup.brute([(r[0], r[1]) for r in quality], corpus_pipeline.NEAR_PERCENT)
     assert sorted(r[0] for r in unique) == [r[0] for r in groups if r[3]]
     bench = [r["text"] for r in spark.read.parquet(f"{sf001}/benchmark.parquet").collect()]
     leaks = {r[0] for r in unique if any(decontaminate.normal(b) in decontaminate.normal(r[1]) for b in bench)}
@@ -55,7 +55,7 @@ def test_stages_against_brute_force(spark, sf001, tmp_path):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
 
 
