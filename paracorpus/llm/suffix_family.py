@@ -362,7 +362,9 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     texts = batched(docs, id_col, text_col)
     total = texts.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = max(0, int(np.ceil(np.log2(max(1.0, total * 2 / (SPAN + 1) / RANGE_ENTRIES)))))
+    # ranges of bounded size, and several a task, so that tasks are even
+    ranges = max(total * 2 / (SPAN + 1) / RANGE_ENTRIES, 4 * shuffle_partitions(docs.sparkSession))
+    bits = int(np.ceil(np.log2(ranges)))
 
     def sampled(row: dict) -> Iterator[pa.RecordBatch]:
         yield from _parts(_unpacked(row).keys, row["batch"], bits)
