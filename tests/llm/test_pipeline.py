@@ -73,3 +73,21 @@ def test_near_dedup_on_the_tables_at_80_percent(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
     want = [r[0] for r in test_near_dup.brute([(r["doc_id"], r["text"]) for r in docs.collect()], 80) if r[3]]
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf001).collect()) == want
+
+
+def test_stages_on_awkward_rows(spark, sf001):
+    """Null ids and texts, repeated rows and ids with several texts; no rows at all."""
+    words = lambda key, n: " ".join(f"{key}{i}" for i in range(n))
+    bench = spark.read.parquet(f"{sf001}/benchmark.parquet").first()["text"]
+    rows_ = [(1, words("a", 80)), (1, words("a", 80)), (1, words("b", 80)), (None, words("c", 80)), (None, words("a", 80)), (2, None), (3, ""),
+             (4, words("d", 80)), (4, words("d", 40) + " " + bench), (None, words("e", 60) + " " + bench), (None, words("f", 60))]
+    docs = documents(spark, rows_)
+    kept = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    want = lambda *drop: sorted((x for k, x in enumerate(rows_) if k not in drop), key=str)
+    assert kept(corpus_pipeline.quality_rules(spark, docs, sf001)) == want(5, 6)
+    assert kept(corpus_pipeline.near_dedup(spark, docs, sf001)) == want(1, 4)
+    assert kept(corpus_pipeline.decontaminated(spark, docs, sf001)) == want(8, 9)
+    assert corpus_pipeline.mixed(spark, docs, sf001).columns == docs.columns
+    assert len(rows(corpus_pipeline.token_files(spark, docs, sf001))) == len(rows_)
+    for _, stage in corpus_pipeline.STAGES:
+        assert rows(stage(spark, docs.limit(0), sf001)) == []
