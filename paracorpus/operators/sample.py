@@ -1,8 +1,9 @@
 """Sorts, limits, sampling and splits.
 
 All randomness is a hash of (row key, seed) (``functions.rand``), so a draw is
-the same on any cluster layout and after task retries.  Positional operators
-use the distributed dense position of ``operators.rowid``.
+the same on any cluster layout and after task retries.  Positions where rows are
+cut come from ``operators.select``; dense positions of narrow rows from
+``operators.rowid``.
 """
 
 from __future__ import annotations
@@ -14,17 +15,29 @@ from pyspark.sql import functions as F
 
 from paracorpus.functions.rand import hash52, uniform
 from paracorpus.operators.rowid import with_row_pos
+from paracorpus.operators.select import cut_at
 from paracorpus.session import written
 
+
 def head_rows(df: DataFrame, n: int = 5, order_col: str = "row_id") -> DataFrame:
     """O2: ``head()`` = first ``n`` rows by the explicit order key."""
     return df.orderBy(F.col(order_col)).limit(n)
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, order_col: str = "row_id") -> DataFrame:
-    """O3: ``select(range(start, stop))`` by dense position."""
-    pos = with_row_pos(df, order_col, "row_pos")
-    return pos.filter((F.col("row_pos") >= start) & (F.col("row_pos") < stop))
+    """O3: ``select(range(start, stop))`` by dense position (``row_pos``).
+
+    ``order_col`` is a unique whole number.  Its keys at both ends are selected on
+    the narrow scan, the wide one is filtered by them (Parquet prunes by that
+    range), and only the slice's own keys are numbered.
+    """
+    keys, start = df.select(order_col), max(start, 0)
+    first, last = (cut_at(keys, p, order_col) for p in (start, stop))
+    key = F.col(order_col)
+    inside = last.before(key) & ~first.before(key)
+    pos = with_row_pos(keys.filter(inside), order_col, "row_pos").withColumn("row_pos", F.col("row_pos") + F.lit(start))
+    pos = pos.withColumnRenamed(order_col, "__key")
+    return df.filter(inside).join(pos, key.eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def row_at(df: DataFrame, i: int, order_col: str = "row_id") -> DataFrame:
@@ -33,9 +46,13 @@ def row_at(df: DataFrame, i: int, order_col: str = "row_id") -> DataFrame:
 
 
 def seeded_shuffle(df: DataFrame, seed: int, key: str = "row_id") -> DataFrame:
-    """``shuffle(seed)``: adds ``shuffle_pos`` (0-based) in hash order."""
-    h = df.withColumn("__h", hash52(F.col(key), str(seed)))
-    return with_row_pos(h, ["__h", key], "shuffle_pos").drop("__h")
+    """``shuffle(seed)``: adds ``shuffle_pos`` (0-based) in hash order.
+
+    Only (key, hash) rows are ordered; the positions are joined to the wide rows by
+    the unique ``key``."""
+    narrow = df.select(F.col(key).alias("__key"), hash52(F.col(key), str(seed)).alias("__h"))
+    pos = with_row_pos(narrow, ["__h", "__key"], "shuffle_pos").drop("__h")
+    return df.join(pos, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def draw_ranks(
@@ -109,19 +126,21 @@ def split_positional(df: DataFrame, test_size: float, order_col: str = "row_id")
 
     ``n_train`` is computed on the driver with Python float arithmetic so the
     boundary matches the reference exactly (n=10, test_size=0.9 -> 0).
+    ``order_col`` is a unique whole number; the split is a filter on its scan.
     """
-    n = df.count()
-    n_train = int(n * (1 - test_size))
-    pos = with_row_pos(df, order_col, "row_pos")
-    return pos.withColumn("split", F.when(F.col("row_pos") < n_train, "train").otherwise("val"))
+    keys = df.select(order_col)
+    cut = cut_at(keys, int(keys.count() * (1 - test_size)), order_col)
+    return df.withColumn("split", F.when(cut.before(F.col(order_col)), "train").otherwise("val"))
 
 
 def split_random(df: DataFrame, test_size: float, seed: int, key: str = "row_id") -> DataFrame:
-    """``train_test_split``: ``ceil(n * test_size)`` rows in hash order are test."""
-    n = df.count()
-    n_test = math.ceil(n * test_size)
-    pos = with_row_pos(df.withColumn("__h", hash52(F.col(key), str(seed))), ["__h", key], "__pos")
-    return pos.withColumn("split", F.when(F.col("__pos") < n_test, "test").otherwise("train")).drop("__h", "__pos")
+    """``train_test_split``: ``ceil(n * test_size)`` rows in hash order are test.
+
+    The split is a comparison of each row's own hash with the selected one, so no row
+    is moved for it."""
+    keys = df.select(F.col(key).alias("key"), hash52(F.col(key), str(seed)).alias("hash"))
+    cut = cut_at(keys, math.ceil(keys.count() * test_size), "hash", "key")
+    return df.withColumn("split", F.when(cut.before(hash52(F.col(key), str(seed)), F.col(key)), "test").otherwise("train"))
 
 
 def gather_by_index(df: DataFrame, indices: DataFrame, key: str = "row_id", rank_col: str = "draw_rank") -> DataFrame:
