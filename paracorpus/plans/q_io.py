@@ -103,34 +103,32 @@ def _progressive(spark, sf):
 _ALL_LANGS = ", ".join(repr(c) for c in NLLB_CODES)
 
 
+_HYP = f"translate(b.text, {A}, {B})"
+
+
 @register(
     "fanout_checkpoint",
-    f"""SELECT tgt_lang, attempt, status, count(*) AS n_rows FROM (
-  SELECT g.tgt_lang, 0 AS attempt, CASE WHEN g.tgt_lang = '{FLAKY_LANG}' THEN 'error' ELSE 'ok' END AS status
-  FROM benchmark CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g
-  UNION ALL SELECT '{FLAKY_LANG}', 1, 'ok' FROM benchmark) t GROUP BY ALL""",
+    f"""SELECT b.item_id AS row_id, g.tgt_lang, 0 AS attempt, CASE WHEN g.tgt_lang = '{FLAKY_LANG}' THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN g.tgt_lang <> '{FLAKY_LANG}' THEN {_HYP} END AS hyp
+FROM benchmark b CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g
+UNION ALL SELECT b.item_id, '{FLAKY_LANG}', 1, 'ok', {_HYP} FROM benchmark b""",
 )
 def q_fanout_checkpoint(spark, sf):
+    """Every row that the sink holds, failed ones too."""
     path, _ = _progressive(spark, sf)
-    df = spark.read.parquet(path)
-    return df.groupBy("tgt_lang", F.col("attempt").cast("int").alias("attempt"), "status").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.parquet(path).select("row_id", "tgt_lang", F.col("attempt").cast("int").alias("attempt"), "status", "hyp")
 
 
 @register(
     "translate_retry_pending",
-    f"""SELECT g.tgt_lang, 'ok' AS status, count(*) AS n_rows,
-  count(*) FILTER (WHERE g.tgt_lang = '{FLAKY_LANG}') AS n_retried,
-  count(*) FILTER (WHERE translate(b.text, {A}, {B}) IS NOT NULL) AS n_translated
-FROM benchmark b CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g GROUP BY ALL""",
+    f"""SELECT b.item_id AS row_id, g.tgt_lang, 'ok' AS status, CASE WHEN g.tgt_lang = '{FLAKY_LANG}' THEN 1 ELSE 0 END AS attempt, {_HYP} AS hyp
+FROM benchmark b CROSS JOIN (SELECT unnest([{_ALL_LANGS}]) AS tgt_lang) g""",
 )
 def q_translate_retry_pending(spark, sf):
+    """The last state of each row and language, with its translation."""
     path, _ = _progressive(spark, sf)
     st = translate.latest_status(spark, path, "row_id")
-    return st.groupBy("tgt_lang", "status").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("attempt") == 1).alias("n_retried"),
-        F.count(F.col("hyp")).alias("n_translated"),
-    )
+    return st.select("row_id", "tgt_lang", "status", F.col("attempt").cast("int").alias("attempt"), "hyp")
 
 
 # ------------------------------------------------------------------ sinks and scans
