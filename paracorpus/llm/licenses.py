@@ -28,6 +28,8 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+        "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" '
@@ -35,12 +37,22 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
     "BSD": (
         "Released under the BSD 3-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met",
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
         "in the documentation and/or other materials provided with the distribution.",
     ),
+    "BSL-1.0": (
+        "Boost Software License - Version 1.0 - August 17th, 2003",
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software',
+    ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -59,15 +71,24 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
     "GPL-2.0": (
         "Licensed under the GNU General Public License, version 2.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation; either version 2 of the License, or any later version.",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or any later version.",
     ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.",
+    ),
     "LGPL": (
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "Licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
         "License as published by the Free Software Foundation.",
@@ -75,12 +96,16 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
+        "The MIT License (MIT)",
+        "Licensed under the terms of the MIT license.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
         'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
         "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
     ),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, version 2.0.",
+        "Mozilla Public License Version 2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
     "Proprietary": (
@@ -413,10 +438,20 @@ def find(model: Model, text: str | None) -> tuple[int, list[tuple[int, int, str,
 
 
 def sample_lines(docs: DataFrame, text_col: str, n: int) -> list[str]:
-    """Up to ``n`` distinct corpus lines, the first by hash, so every run draws the same."""
+    """Up to ``n`` distinct corpus lines, the first by hash, so every run draws the same.
+
+    Only lines below a bound of the hash are ordered: as many as the number of all
+    lines makes likely to be enough, or else eight times so many.
+    """
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
     lines = lines.filter(F.length(F.trim("line")).between(3, 2000)).withColumn("h", F.xxhash64("line"))
-    return [r["line"] for r in lines.orderBy("h", "line").limit(n).select("line").collect()]
+    share = 4 * n / max(lines.count(), 1)
+    while True:
+        low = lines if share >= 1 else lines.filter(F.col("h") < F.lit(int(share * 2**64) - 2**63))
+        found = [r["line"] for r in low.distinct().orderBy("h", "line").limit(n).collect()]
+        if len(found) == n or share >= 1:
+            return found
+        share *= 8
 
 
 _SCHEMA = "doc_id long, n_paragraphs long, licenses array<struct<start:bigint,end:bigint,family:string,probability:double>>"

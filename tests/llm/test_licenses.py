@@ -74,6 +74,30 @@ def test_awkward_rows(spark, model):
     assert rows(licenses.op6_query(empty(spark))) == []
 
 
+#: Forms that are not among the notices, word for word.
+UNSEEN = {
+    "The MIT License": "MIT", "This project is licensed under the terms of the MIT license.": "MIT", "It is released under the MIT License": "MIT",
+    "THE MIT LICENSE (MIT)": "MIT", "GNU General Public License version 3, 29 June 2007": "GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\tVersion 2, June 1991": "GPL-2.0",
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "ISC",
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)": "BSL-1.0", "licensed under the Apache License, version 2.0": "Apache-2.0",
+    "The code is licensed under the BSD 2-Clause License": "BSD", "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "BSD",
+    "GNU Lesser General Public License, version 2.1, February 1999": "LGPL", "Mozilla Public License, version 2.0": "MPL-2.0",
+}
+
+
+def test_recall_on_forms_that_were_not_trained_on(model):
+    found = {text: [s[2] for s in licenses.find(model, f"some words first\n{text}\nand after")[1]] for text in UNSEEN}
+    missed = {t: f for t, f in found.items() if f != [UNSEEN[t]]}
+    assert len(missed) <= 2, missed
+
+
+def test_sample_is_distinct_and_the_first_by_hash(spark):
+    df = spark.createDataFrame([(i, "\n".join(["a common line"] * 50 + [f"line number {i}", f"line number {i // 2}"])) for i in range(300)], "doc_id long, text string")
+    got = licenses.sample_lines(df, "text", 20)
+    assert len(got) == len(set(got)) == 20 and licenses.sample_lines(df.repartition(7), "text", 20) == got
+    assert len(licenses.sample_lines(df, "text", 1000)) == 301
+
+
 def test_each_notice_inside_a_long_line(model):
     """In one line of 100 other words, at its ends and between; places are the notice's own."""
     around = [f"plain{i} words{i}" for i in range(50)]
