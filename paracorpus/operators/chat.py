@@ -20,6 +20,13 @@ SYSTEM_PROMPT = (
 # The roles the template renders, and their marker format.
 ROLES = ["user", "system", "assistant"]
 DEFAULT_EOS = "</s>"
+# Fixed value: the chat template as given, for ``operators.template``.
+DEFAULT_CHAT_TEMPLATE = (
+    "{% for message in messages %}\n{% if message['role'] == 'user' %}\n{{ '<|user|>\n' + message['content'] + eos_token }}\n"
+    "{% elif message['role'] == 'system' %}\n{{ '<|system|>\n' + message['content'] + eos_token }}\n"
+    "{% elif message['role'] == 'assistant' %}\n{{ '<|assistant|>\n'  + message['content'] + eos_token }}\n{% endif %}\n"
+    "{% if loop.last and add_generation_prompt %}\n{{ '<|assistant|>' }}\n{% endif %}\n{% endfor %}"
+)
 
 
 def system_prompt(src: Column, tgt: Column, src_code: Column, tgt_code: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from paracorpus import fixtures as fx
 from paracorpus.fixtures import with_ctes
-from paracorpus.operators import phrases, service, sketches
+from paracorpus.operators import chat, phrases, service, sketches
+from paracorpus.operators.template import compile_template
 from paracorpus.plans import sqltext as sq
 from paracorpus.plans.base import PAIRS_TOK_SQL, _pairs_tok, register
 from paracorpus.plans.q_io import _TABLE, A, B
@@ -116,3 +117,51 @@ def q_merged_quantiles(spark, sf):
     bound = F.lit(sketches.rank_error())
     ok = (F.col("below") / n - bound <= F.col("rank")) & (F.col("rank") <= F.col("upto") / n + bound)
     return placed.join(whole.select("n")).select("rank", ok.alias("within_bound"), "n")
+
+
+CHATML = (
+    "{% for message in messages %}{{ '<|im_start|>' + message.role + '\\n' + message.content | trim + '<|im_end|>\\n' }}{% endfor %}"
+    "{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}"
+)
+INSTRUCT = (
+    "{{ bos_token }}\n{%- for m in messages -%}\n  {%- if loop.first and m['role'] == 'system' -%} <<SYS>>{{ m['content'] }}<</SYS>>\n"
+    "  {%- elif m['role'] in ['user', 'system'] -%} [INST] {{ m['content'] }} [/INST]\n  {%- else -%} {{ ' ' ~ m['content'] ~ eos_token }}{%- endif -%}\n{%- endfor -%}"
+)
+
+
+def _messages(spark, sf):
+    turns = fx.table(spark, sf, "conversations").filter("text IS NOT NULL")
+    each = F.struct("turn", F.struct("role", F.col("text").alias("content")).alias("m"))
+    held = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(each)).alias("t"))  # the turns of one conversation
+    return held.select("conv_id", F.transform("t", lambda x: x["m"]).alias("messages"))
+
+
+def _turns_sql(piece: str, before: str = "''", after: str = "''") -> str:
+    numbered = "SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations WHERE text IS NOT NULL"
+    return f"SELECT conv_id, {before} || string_agg({piece}, '' ORDER BY k) || {after} AS text FROM ({numbered}) t GROUP BY conv_id"
+
+
+@register("template_default", _turns_sql(sq.render_message("role", "text")))
+def q_template_default(spark, sf):
+    """The given template text."""
+    render = compile_template(chat.DEFAULT_CHAT_TEMPLATE, eos_token=chat.DEFAULT_EOS)
+    return _messages(spark, sf).select("conv_id", render(F.col("messages")).alias("text"))
+
+
+@register(
+    "template_chatml",
+    _turns_sql("'<|im_start|>' || role || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || '<|im_end|>' || chr(10)", after="'<|im_start|>assistant' || chr(10)"),
+)
+def q_template_chatml(spark, sf):
+    render = compile_template(CHATML, add_generation_prompt=True)
+    return _messages(spark, sf).select("conv_id", render(F.col("messages")).alias("text"))
+
+
+@register(
+    "template_instruct",
+    _turns_sql("CASE WHEN k = 1 AND role = 'system' THEN '<<SYS>>' || text || '<</SYS>>' WHEN role IN ('user', 'system') THEN '[INST] ' || text || ' [/INST]' "
+               "ELSE ' ' || text || '</s>' END", before="'<s>'"),
+)
+def q_template_instruct(spark, sf):
+    render = compile_template(INSTRUCT, bos_token="<s>", eos_token="</s>")
+    return _messages(spark, sf).select("conv_id", render(F.col("messages")).alias("text"))

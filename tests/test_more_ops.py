@@ -5,10 +5,12 @@ import random
 import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from paracorpus.operators import phrases, service, sketches
+from paracorpus.operators import chat, phrases, service, sketches
 from paracorpus.operators.service import Service
+from paracorpus.operators.template import TemplateError, compile_template
 
 
 def rows(df):
@@ -116,3 +118,39 @@ def test_sketches_merge_to_the_whole(spark):
     exact = np.histogram([v for v in values if v < 10**6], 10)[0]
     assert all(abs(b["count"] - e) <= 2 * sketches.rank_error() * n + 1 for b, e in zip(bins, exact, strict=True))
     assert rows(sketches.state_of(df.limit(0), "v", ["part"])) == [] and states.filter(F.col("part") == 9).count() == 0
+
+
+MESSAGES = "row_id long, messages array<struct<role:string,content:string>>"
+
+
+def test_the_given_template_renders_as_before(spark):
+    df = spark.createDataFrame([
+        (1, [("system", "s"), ("user", "u\n{{ x }}"), ("assistant", "a")]), (2, [("tool", "t"), ("user", "")]), (3, []), (4, [("user", None), ("user", "x")]),
+    ], MESSAGES)
+    render = compile_template(chat.DEFAULT_CHAT_TEMPLATE, eos_token="</s>")
+    got = df.select("row_id", render(F.col("messages")).alias("text"))
+    assert rows(got) == rows(chat.chat_render(df).select("row_id", "text"))
+    asked = compile_template(chat.DEFAULT_CHAT_TEMPLATE, eos_token="</s>", add_generation_prompt=True)
+    assert rows(df.filter("row_id = 1").select(asked(F.col("messages"))))[0][0].endswith("a</s>\n<|assistant|>\n")
+    assert "PythonUDF" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("template", "want"), [
+    ("{% for m in messages %}{{ loop.index }}{{ m.role | upper }};{% endfor %}", "1USER;2BOT;"),
+    ("a\n  {% if flag %}\nb\n  {% else %}\nc\n{% endif %}\nd", "a\nb\nd"),
+    ("{% if not flag or name == 'x' %}1{% elif name != \"y\" and flag %}2{% endif %}!", "2!"),
+    ("{{ '{' + 'it\\'s' ~ \"\\t\" + ( name | trim ) }}{# no #}", "{it's\tz"),
+    ("x {{- ' y ' -}}  z", "x y z"),
+    ("{% for m in messages %}{% for n in messages %}{{ m.role + n['role'] }}{% if loop.last %}|{% endif %}{% endfor %}{% endfor %}", "useruseruserbot|botuserbotbot|"),
+    ("{% if name in ['a', ' z '] %}in{% endif %}", "in"),
+    ("", ""),
+])
+def test_templates(spark, template, want):
+    df = spark.createDataFrame([(1, [("user", "u"), ("bot", "b")])], MESSAGES)
+    assert rows(df.select(compile_template(template, flag=True, name=" z ")(F.col("messages")))) == [(want,)]
+
+
+@pytest.mark.parametrize("template", ["{% set x = 1 %}", "{% for m in messages %}", "{{ }}", "{{ a b }}", "{{ unknown }}", "{{ 'x' | json }}", "{{ 1 $ 2 }}", "{% if 'a' == %}{% endif %}"])
+def test_what_templates_lack(spark, template):
+    with pytest.raises(TemplateError):
+        compile_template(template)(F.col("messages"))
