@@ -163,6 +163,64 @@ def word_edit_rate(df: DataFrame, keys: Sequence[str], hyp: str = "hyp", ref: st
     return x.select(*keys, rate.alias("word_edit_rate"))
 
 
+# Fixed values of the published metric: most words of a shift, and how far it goes.
+SHIFT_WORDS, SHIFT_DISTANCE = 10, 50
+
+
+def shifted_edits(hyp: Sequence[str], ref: Sequence[str]) -> int:
+    """Edits to ``ref`` where moving a run of words counts as one.
+
+    Greedy: of all runs of ``hyp`` that the reference has at another place, the move
+    to that place that leaves the fewest edits is made (ties: the longest run, then
+    the first one, then the first place), as long as it saves more than it costs.
+    Meant for sentences: a step compares every candidate with the reference.
+    """
+    words, places = list(hyp), {}
+    for j, w in enumerate(ref):
+        places.setdefault(w, []).append(j)
+    edits, shifts = word_edits(words, ref), 0
+    while edits > 1:
+        runs = []
+        for i, w in enumerate(words):
+            for j in places.get(w, ()):
+                if i == j or abs(i - j) > SHIFT_DISTANCE:
+                    continue
+                for n in range(1, min(SHIFT_WORDS, len(words) - i, len(ref) - j) + 1):
+                    if words[i + n - 1] != ref[j + n - 1]:
+                        break
+                    runs.append((-n, i, j))
+        best = None
+        for size, i, j in sorted(runs):
+            n = -size
+            if edits - 2 * n > (best[0] if best else edits - 2):
+                continue  # n words moved save 2 n edits at most
+            rest = words[:i] + words[i + n :]
+            at = min(j, len(rest))
+            moved = rest[:at] + words[i : i + n] + rest[at:]
+            left = word_edits(moved, ref)
+            if left + 1 < edits and (best is None or left < best[0]):
+                best = left, moved
+        if best is None:
+            break
+        edits, words, shifts = best[0], best[1], shifts + 1
+    return edits + shifts
+
+
+@F.pandas_udf(IntegerType())
+def _shifted_edits(hyp: pd.Series, ref: pd.Series) -> pd.Series:
+    return pd.Series([shifted_edits(h, r) for h, r in zip(hyp, ref)], dtype="int32")
+
+
+def shift_edit_rate(df: DataFrame, keys: Sequence[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:
+    """M3 with block shifts: ``shift_edit_rate`` = 100 x edits and shifts / ref words, beside ``word_edit_rate``."""
+    keys = list(keys)
+    words = lambda c: split_ws(F.lower(F.coalesce(F.col(c), F.lit(""))))
+    x = df.select(*keys, words(hyp).alias("__h"), words(ref).alias("__r"))
+    x = x.select(*keys, F.size("__r").cast("double").alias("__n"), _word_edits("__h", "__r").cast("double").alias("__e"), _shifted_edits("__h", "__r").cast("double").alias("__s"))
+    rate = lambda e: F.when(F.col("__n") > 0, F.lit(100.0) * F.col(e) / F.col("__n")).when(F.col(e) > 0, F.lit(100.0)).otherwise(F.lit(0.0))
+    return x.select(*keys, rate("__e").alias("word_edit_rate"), rate("__s").alias("shift_edit_rate"))
+
+
 def tokenize_13a(c: Column) -> Column:
     """sacreBLEU's default '13a' tokenizer as regex replacements (output: tokens joined by ' ')."""
     s = F.replace(F.replace(F.replace(c, F.lit("<skipped>"), F.lit("")), F.lit("-\n"), F.lit("")), F.lit("\n"), F.lit(" "))

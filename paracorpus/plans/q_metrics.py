@@ -145,6 +145,13 @@ def q_sentence_chrf(spark, sf):
     return s.select(*KEYS, _b4("chrf").alias("chrf"))
 
 
+@register("shift_edit_rate")
+def q_shift_edit_rate(spark, sf):
+    """M3 with block shifts, which SQL can't search: held against a brute force in the tests."""
+    s = metrics.shift_edit_rate(_stripped(spark, sf), KEYS)
+    return s.select(*KEYS, _b4("word_edit_rate").alias("word_edit_rate"), _b4("shift_edit_rate").alias("shift_edit_rate"))
+
+
 @register("word_edit_rate", with_ctes("hyp_ref", body=f", {STRIPPED} SELECT row_id, model, {_r(word_edit_rate_sql('hyp', 'ref'))} AS word_edit_rate FROM stripped"))
 def q_word_edit_rate(spark, sf):
     s = metrics.word_edit_rate(_stripped(spark, sf), KEYS)

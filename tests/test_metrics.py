@@ -157,3 +157,61 @@ def test_chrf_of_long_texts(spark):
     text = " ".join(f"word{i}" for i in range(20_000))
     df = spark.createDataFrame([(1, text, text)], "row_id long, hyp string, ref string")
     assert metrics.sentence_chrf(df, ["row_id"]).first().chrf == pytest.approx(100.0)
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+def brute_shifted(hyp, ref):
+    """Every move of every run, each with a plain distance."""
+    shifts = 0
+    while True:
+        now, best = levenshtein(hyp, ref), None
+        for i in range(len(hyp)):
+            for j in range(len(ref)):
+                for n in range(1, 11):
+                    if i != j and i + n <= len(hyp) and j + n <= len(ref) and hyp[i : i + n] == ref[j : j + n]:
+                        rest = hyp[:i] + hyp[i + n :]
+                        moved = rest[:j] + hyp[i : i + n] + rest[j:]
+                        key = (levenshtein(moved, ref), -n, i, j)
+                        best = min(best, (key, moved)) if best else (key, moved)
+        if best is None or best[0][0] + 1 >= now:
+            return now + shifts
+        hyp, shifts = best[1], shifts + 1
+
+
+def test_shifted_edits_against_brute_force():
+    import random
+
+    from paracorpus.operators.metrics import shifted_edits, word_edits
+
+    rng = random.Random(8)
+    fewer = 0
+    for _ in range(300):
+        ref = [rng.choice("abcdefg") for _ in range(rng.randint(0, 9))]
+        hyp = [rng.choice("abcdefg") for _ in range(rng.randint(0, 9))] if rng.random() < 0.3 else list(ref)
+        for _ in range(rng.randint(0, 2)):
+            if hyp:
+                i, n, j = rng.randrange(len(hyp)), rng.randint(1, 4), rng.randint(0, len(hyp))
+                run, rest = hyp[i : i + n], hyp[:i] + hyp[i + n :]
+                hyp = rest[:j] + run + rest[j:]
+        got = shifted_edits(hyp, ref)
+        assert got == brute_shifted(hyp, ref) <= word_edits(hyp, ref), (hyp, ref)
+        fewer += got < word_edits(hyp, ref)
+    assert fewer > 30
+    assert shifted_edits("d e f a b c".split(), "a b c d e f".split()) == 1
+
+
+def test_shift_edit_rate_rows(spark):
+    from paracorpus.operators import metrics
+
+    df = spark.createDataFrame([(1, "d e f a b c", "A B C D E F"), (2, None, "a"), (3, "x", ""), (4, None, None), (5, "a b", "a b")], "row_id long, hyp string, ref string")
+    got = {r["row_id"]: (r["word_edit_rate"], r["shift_edit_rate"]) for r in metrics.shift_edit_rate(df, ["row_id"]).collect()}
+    assert got == {1: (100.0, 100.0 / 6), 2: (100.0, 100.0), 3: (100.0, 100.0), 4: (0.0, 0.0), 5: (0.0, 0.0)}
