@@ -8,9 +8,13 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 
 
+#: A greedy search, which SQL can't express: tests/test_metrics.py holds it against a brute force.
+WITHOUT_ORACLE = {"shift_edit_rate"}
+
+
 def test_every_query_has_an_oracle_or_a_reason():
     missing = set(E.queries()) - set(E.oracle_sql()) - set(E.LLM_QUERIES)
-    assert missing == set()
+    assert missing == WITHOUT_ORACLE
 
 
 def test_entry_runs(spark):
