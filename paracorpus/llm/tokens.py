@@ -1,9 +1,10 @@
-"""Whole-text token ids through the tokenizers library, with a bounded cache of words.
+"""Whole-text token ids through the tokenizers library, with a bounded cache of pieces.
 
 The byte-level BPE tokenizers cut a text into words (pre-tokens) by a fixed
-pattern and encode each word alone, so the ids of a text are those of its words
-one after the other.  Corpora repeat their words, so most come from a
-per-process cache and the library encodes only new ones.
+pattern and encode each word alone.  A space that follows no blank always begins
+a word, so a text may be cut there: its ids are those of its pieces one after the
+other, each with its space.  Corpora repeat their pieces, so most come from a
+per-process cache; the library encodes the new ones, many in one call.
 """
 
 from __future__ import annotations
@@ -18,46 +19,44 @@ import pyarrow.compute as pc
 
 from paracorpus.llm.common import WORKER_CACHES
 
-#: Cached words and pieces per generation and Python worker; two generations are kept.
-MAX_WORDS, MAX_PIECES = 450_000, 250_000
+#: Cached pieces per generation and Python worker; two generations are kept.
+MAX_PIECES = 600_000
 #: Bytes of text that are encoded together; each distinct piece in them is looked up once.
 CHUNK_BYTES = 8 << 20
-#: The tokenizer's own word pattern in terms of Python's classes.  The classes
-#: differ for a few characters; words that hold such a character are refused.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_UNSURE = re.compile(r"[\x1c-\x1f\x85]")
+#: New pieces that the library encodes in one call.
+CALL_PIECES = 20_000
+#: The space of a byte-level vocabulary.
+SPACE = "Ġ"
+#: A space that follows no blank.  Python's blanks include all of the tokenizer's.
+_CUT = re.compile(r"(?<=\S) ")
 
 
-class _Cache(dict):
-    """Computes missing values; once full, the entries become the old generation."""
+class _Pieces:
+    """Ids of pieces; once full, the entries become the old generation."""
 
-    def __init__(self, make, limit):
-        super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
 
-    def __missing__(self, key):
-        value = self.old.get(key)
-        return self.put(key, self.make(key) if value is None else value)
+    def find(self, keys: list[str]) -> list[bytes | None]:
+        found = list(map(self.new.get, keys))
+        if self.old:
+            for k, v in enumerate(found):
+                if v is None and (v := self.old.get(keys[k])) is not None:
+                    found[k] = v
+                    self.put(keys[k], v)
+        return found
 
-    def put(self, key, value):
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-    def has(self, key) -> bool:
-        return key in self or key in self.old
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    ``pieces`` maps what follows one space to its ids: a cut before a space
-    that follows no blank is always one between words.  ``words`` maps words.
-    Both map to None what they can't be sure of.  Strings of added tokens in a
-    text get these tokens' ids, as the library does it; ``special_as_text`` makes
-    them ordinary text.
+    Strings of added tokens in a text get these tokens' ids, as the library does
+    it; ``special_as_text`` makes them ordinary text.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -68,55 +67,43 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = special_as_text
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [] if special_as_text else [x.content for x in added if x.content]
-        self.words = _Cache(self._word, MAX_WORDS)
-        self.pieces = _Cache(self._piece, MAX_PIECES)
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.pieces = _Pieces(MAX_PIECES)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    @staticmethod
-    def _sure(word: str) -> bool:
-        known = word.isalpha() or word.isascii() or all(c.isalpha() or c.isdecimal() or not c.isalnum() for c in word)
-        return known and not _UNSURE.search(word)
-
-    def _word(self, word: str) -> bytes | None:
-        return self._library(word) if self._sure(word) else None
-
-    def _prefetch(self, pieces: list[str]) -> None:
-        """Encode the new words of new pieces together: words that begin with a
-        space are joined to one text, whose words the library numbers."""
-        words = set()
-        for p in pieces:
-            words.update(_WORDS.findall(" " + p))
-        new = [w for w in words if len(w) > 1 and w[0] == " " and w[1] != " " and not self.words.has(w) and self._sure(w)]
-        found = self.tokenizer.encode("".join(new), add_special_tokens=False)
-        ids, number = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
-        if len(number) and number[-1] + 1 == len(new):
-            cuts = np.searchsorted(number, np.arange(len(new) + 1)).tolist()
-            for w, i, j in zip(new, cuts, cuts[1:], strict=False):
-                self.words.put(w, ids[i:j].tobytes())
-
-    def _piece(self, piece: str) -> bytes | None:
-        if not piece or piece[-1].isspace():  # the next space belongs to a run of blanks
-            return None
-        return self._by_words(" " + piece)
-
-    def _by_words(self, text: str) -> bytes | None:
-        ids = [self.words[w] for w in _WORDS.findall(text)]
-        return None if None in ids else b"".join(ids)
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces with a space before each, which the library gets as one text.
+        If no piece has a space of its own, the tokens that begin with one tell where pieces begin."""
+        text = " " + " ".join(pieces)
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(self.begins[ids])
+        if len(cuts) != len(pieces) or cuts[0]:
+            return [self._library(" " + p) for p in pieces]
+        raw, cuts = ids.tobytes(), [*(cuts * 4).tolist(), 4 * len(ids)]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces that hold no space and don't end with a blank."""
+        found = self.pieces.find(pieces)
+        missing = [k for k, v in enumerate(found) if v is None]
+        for i in range(0, len(missing), CALL_PIECES):
+            some = missing[i : i + CALL_PIECES]
+            for k, ids in zip(some, self._new([pieces[k] for k in some]), strict=True):
+                found[k] = ids
+                self.pieces.put(pieces[k], ids)
+        return found
 
     def encode(self, text: str) -> bytes:
         if any(x in text for x in self.special):
             return self._library(text)
-        first, *rest = text.split(" ")
-        if not (rest and first[-1:].isspace()):
-            start, pieces = self._by_words(first), self.pieces
-            try:
-                return b"".join([start, *[pieces[p] for p in rest]])
-            except TypeError:  # a None among them
-                pass
-        ids = self._by_words(text)
-        return self._library(text) if ids is None else ids
+        first, *rest = _CUT.split(text)
+        plain = list(dict.fromkeys(p for p in rest if p and " " not in p and not p[-1].isspace()))
+        of = dict(zip(plain, self.known(plain), strict=True))
+        return b"".join([self._library(first), *[of[p] if p in of else self._library(" " + p) for p in rest]])
 
     def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of every text of a string array, null as empty."""
@@ -130,41 +117,41 @@ class WordEncoder:
             begin = end
 
     def _encode_chunk(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Texts that hold an added token, or a run of blanks with a space in it, go one by one."""
         split = pc.split_pattern(texts, " ")
         begins = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = pc.dictionary_encode(split.flatten())
-        index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         starts = begins[:-1]
-        rest = np.ones(len(index), bool)
+        plain = pc.and_(pc.not_equal(distinct, ""), pc.equal(pc.utf8_rtrim_whitespace(distinct), distinct))
+        plain = plain.to_numpy(zero_copy_only=False)
+        unsure = ~plain[index]
+        unsure[begins[1:] - 1] &= begins[1:] - 1 > starts  # a text of one piece
+        unsure[starts] &= pc.not_equal(distinct.take(pa.array(index[starts])), "").to_numpy(zero_copy_only=False)
+        bad = np.logical_or.reduceat(unsure, starts)
+        for x in self.special:
+            bad |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        rest = np.repeat(~bad, np.diff(begins))
         rest[starts] = False
         used = np.zeros(len(distinct), bool)
         used[index[rest]] = True  # the first piece of a text follows no space
-        pieces = self.pieces
-        self._prefetch([p for p, u in zip(distinct, used.tolist(), strict=True) if u and not pieces.has(p)])
-        known = [pieces[p] if u else b"" for p, u in zip(distinct, used.tolist(), strict=True)]
-        unsure = np.fromiter([k is None for k in known], bool, len(known))
-        bad = np.logical_or.reduceat(unsure[index] & rest, starts) if len(index) else np.zeros(0, bool)
-        for x in self.special:
-            bad |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
-        heads = []
-        for k, place in enumerate(starts.tolist()):
-            head = distinct[index[place]]
-            slow = bad[k] or (begins[k + 1] > place + 1 and head[-1:].isspace())
-            ids = None if slow else self._by_words(head)
-            if ids is None:  # the whole text at its first piece, nothing at the others
-                bad[k], ids = True, self.encode(texts[k].as_py())
-            heads.append(ids)
-        index[starts] = len(known) + np.arange(len(starts))
-        known = [k or b"" for k in known] + heads + [b""]
-        if bad.any():
-            drop = np.repeat(bad, np.diff(begins)) & rest
-            index[drop] = len(known) - 1
+        places = np.flatnonzero(used)
+        known = self.known(distinct.take(pa.array(places)).to_pylist())
+        at = np.full(len(distinct), len(known))
+        at[places] = np.arange(len(places))
+        index[~rest] = 0
+        where = np.where(rest, at[index], len(known))
+        heads = split.flatten().take(pa.array(starts)).to_pylist()
+        whole = iter(texts.filter(pa.array(bad)).to_pylist())
+        known.append(b"")  # the other pieces of a text that is encoded whole
+        where[starts] = len(known) + np.arange(len(starts))
+        known += [self.encode(next(whole)) if b else self._library(h) for b, h in zip(bad.tolist(), heads, strict=True)]
         length = np.fromiter(map(len, known), np.int64, len(known)) // 4
         first = np.cumsum(length) - length
         pool = np.frombuffer(b"".join(known), "<u4")
-        n = length[index]
+        n = length[where]
         ends = np.cumsum(n)
-        ids = pool[np.repeat(first[index] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = pool[np.repeat(first[where] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
         yield from np.split(ids, (ends - n)[starts[1:]])
 
 

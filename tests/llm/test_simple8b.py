@@ -56,12 +56,19 @@ def test_ids_are_the_librarys_for_any_text(text):
 
 
 def test_cache_generations(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_WORDS", 3)
     monkeypatch.setattr(tokens, "MAX_PIECES", 3)
+    monkeypatch.setattr(tokens, "CALL_PIECES", 2)
     encoder = tokens.WordEncoder(tokens.tokenizer_path())
-    text = "one two three four five one two three"
-    assert encoder.encode(text) == encoder._library(text)
-    assert len(encoder.words) <= 3 and len(encoder.pieces) <= 3
+    for text in ("one two three four five one two three", "two six", "five one three\nseven", "two"):
+        assert encoder.encode(text) == encoder._library(text)
+        assert len(encoder.pieces.new) <= 3 and len(encoder.pieces.old) <= 3
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=" ab1'.\n\t\x1c\x85\xa0²é\u2028\u3000中", max_size=12), max_size=6))
+def test_chunks_of_any_texts(texts):
+    encoder = tokens.encoder(tokens.tokenizer_path())
+    assert [ids.tobytes() for ids in encoder.encode_all(pa.array(texts, pa.string()))] == [encoder._library(t) for t in texts]
 
 
 def test_chunks_of_texts(monkeypatch):
