@@ -40,16 +40,20 @@ class _Pieces:
     def find(self, keys: list[str]) -> list[bytes | None]:
         found = list(map(self.new.get, keys))
         if self.old:
-            for k, v in enumerate(found):
-                if v is None and (v := self.old.get(keys[k])) is not None:
-                    found[k] = v
-                    self.put(keys[k], v)
+            again = [(k, v) for k, f in enumerate(found) if f is None and (v := self.old.get(keys[k])) is not None]
+            for k, v in again:
+                found[k] = v
+            self.put([keys[k] for k, _ in again], [v for _, v in again])
         return found
 
-    def put(self, key: str, value: bytes) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
+    def put(self, keys: list[str], values: list[bytes]) -> None:
+        begin = 0
+        while begin < len(keys):
+            if len(self.new) >= self.limit:
+                self.old, self.new = self.new, {}
+            end = begin + self.limit - len(self.new)
+            self.new.update(zip(keys[begin:end], values[begin:end], strict=True))
+            begin = end
 
 
 class WordEncoder:
@@ -79,7 +83,7 @@ class WordEncoder:
         """Ids of pieces with a space before each, which the library gets as one text.
         If no piece has a space of its own, the tokens that begin with one tell where pieces begin."""
         text = " " + " ".join(pieces)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(self.begins[ids])
         if len(cuts) != len(pieces) or cuts[0]:
             return [self._library(" " + p) for p in pieces]
@@ -91,10 +95,12 @@ class WordEncoder:
         found = self.pieces.find(pieces)
         missing = [k for k, v in enumerate(found) if v is None]
         for i in range(0, len(missing), CALL_PIECES):
-            some = missing[i : i + CALL_PIECES]
-            for k, ids in zip(some, self._new([pieces[k] for k in some]), strict=True):
-                found[k] = ids
-                self.pieces.put(pieces[k], ids)
+            places = missing[i : i + CALL_PIECES]
+            some = [pieces[k] for k in places]
+            ids = self._new(some)
+            self.pieces.put(some, ids)
+            for k, v in zip(places, ids, strict=True):
+                found[k] = v
         return found
 
     def encode(self, text: str) -> bytes:
@@ -151,8 +157,10 @@ class WordEncoder:
         pool = np.frombuffer(b"".join(known), "<u4")
         n = length[where]
         ends = np.cumsum(n)
-        ids = pool[np.repeat(first[where] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        yield from np.split(ids, (ends - n)[starts[1:]])
+        step = np.int32 if max(int(ends[-1]), len(pool)) < 1 << 31 else np.int64
+        place = np.repeat((first[where] - (ends - n)).astype(step), n)
+        place += np.arange(len(place), dtype=step)
+        yield from np.split(pool.take(place), (ends - n)[starts[1:]])
 
 
 def encoder(path: str, special_as_text: bool = False) -> WordEncoder:
