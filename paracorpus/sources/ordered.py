@@ -9,28 +9,42 @@ which Parquet knows, so positions are neither stored nor computed again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 ROWS, ZONES = "rows", "zones"
+#: Bytes of rows that a file should hold, and the files whose names Spark still writes in order.
+FILE_BYTES, MOST_FILES = 128 << 20, 99_999
+
+
+def _bytes(df: DataFrame) -> int:
+    """Bytes of the rows, about: texts by their length, nested values as JSON, others as eight."""
+    sizes = [
+        F.octet_length(F.col(f"`{c}`")) if t in ("string", "binary") else F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))) if "<" in t else F.lit(8)
+        for c, t in df.dtypes
+    ]
+    total = df.select(sum((F.coalesce(x, F.lit(0)).cast("long") for x in sizes), F.lit(0)).alias("n")).agg(F.sum("n")).first()[0]
+    return total or 0
 
 
 def write_ordered(df: DataFrame, path: str, order_col: str = "row_id", files: int | None = None) -> None:
     """Write ``df`` in ``order_col`` order, with its zone map; ``order_col`` is unique, nulls come first.
 
-    One range shuffle.  The zone map is made from the files written (footers and
-    the key column), and its positions are a running sum over one row a file.
+    One range shuffle, into ``files`` files, or more where these would hold more than
+    ``FILE_BYTES``: no task reads more as the table grows.  The zone map is made from the
+    files written (footers and the key column), and its positions are a running sum over
+    one row a file.
     """
     spark, base = df.sparkSession, path.rstrip("/")
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(n, min(-(-_bytes(df) // FILE_BYTES), MOST_FILES))
     df.repartitionByRange(n, F.col(order_col).asc_nulls_first()).sortWithinPartitions(F.col(order_col).asc_nulls_first()).write.parquet(f"{base}/{ROWS}")
     rows = spark.read.schema(df.schema).parquet(f"{base}/{ROWS}").select(F.col("_metadata.file_name").alias("file"), F.col(order_col).alias("key"))
     zones = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), F.count_if(F.col("key").isNull()).alias("nulls"))
     # Spark numbers files by their range, so names are in key order
-    ahead = zones.select("file", "n").alias("a").join(zones.select(F.col("file").alias("later")).alias("b"), F.col("file") < F.col("later"))
-    first = ahead.groupBy("later").agg(F.sum("n").alias("first"))
-    zones = zones.join(first, F.col("file") == F.col("later"), "left").withColumn("first", F.coalesce("first", F.lit(0))).drop("later")
+    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    zones = zones.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     zones.coalesce(1).write.parquet(f"{base}/{ZONES}")
 
 

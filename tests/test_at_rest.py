@@ -122,3 +122,14 @@ def test_null_keys_and_empty_sources(spark):
     kept.append(spark.createDataFrame([], schema), 1)
     kept.append(spark.createDataFrame([(4, None, "x"), (5, None, None), (6, "x", None)], schema), 2)
     assert sorted((r["row_id"], r["source_no"]) for r in kept.rows().collect()) == [(1, 0), (3, 0), (5, 2)]
+
+
+def test_ordered_files_stay_below_a_size(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "FILE_BYTES", 4000)
+    rows = spark.range(900).select(F.col("id").alias("row_id"), F.repeat(F.lit("x"), 90).alias("t"), F.array(F.lit("y")).alias("a"))
+    path = scratch_path(spark, "ordered")
+    ordered.write_ordered(rows, path, "row_id", 3)
+    zones = ordered.zone_map(spark, path).orderBy("first").collect()
+    assert len(zones) > 15 and max(z["n"] for z in zones) < 120 and sum(z["n"] for z in zones) == 900
+    assert all(a["high"] < b["low"] and a["first"] + a["n"] == b["first"] for a, b in zip(zones, zones[1:], strict=False))
+    assert [(r["row_id"], r["row_pos"]) for r in ordered.read_row(spark, path, 137, rows.schema).collect()] == [(137, 137)]
