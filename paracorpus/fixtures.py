@@ -60,15 +60,16 @@ def word_count(c):
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    ar = to_arabic(F.col("text"))
-    i = F.col("doc_id")
+    text, i = F.col("text"), F.col("doc_id")
+    ar = to_arabic(F.coalesce(text, F.lit("")))
+    before = F.when((i % 13 == 0) & (i % 11 != 0), F.lit("<unk>")).otherwise(F.lit(""))
+    after = F.when(i % 11 == 0, F.lit(" <unk>")).when((i % 29 == 0) & (i % 13 != 0), F.lit(" return x;")).otherwise(F.lit(""))
+    # whether a row is null is known without its text: filters don't translate it
     darija = (
         F.when(i % 17 == 0, F.lit(None).cast("string"))
         .when(i % 23 == 0, F.lit(""))
-        .when(i % 11 == 0, F.concat(ar, F.lit(" <unk>")))
-        .when(i % 13 == 0, F.concat(F.lit("<unk>"), ar))
-        .when(i % 29 == 0, F.concat(ar, F.lit(" return x;")))
-        .otherwise(ar)
+        .when(text.isNull(), F.lit(None).cast("string"))
+        .otherwise(F.concat(before, ar, after))
     )
     source = F.when(i % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("source"))
     return d.select(

@@ -3,8 +3,9 @@
 The subword tokenizer of the reference is re-aimed as a word vocabulary
 table: whitespace tokens ranked by frequency, written once so Spark knows its
 size.  Encoding partitions rows by key first and explodes tokens after that, so
-a lookup that Spark may broadcast needs no exchange of tokens; a larger
-vocabulary is joined by shuffle, where adaptive execution splits hot tokens.
+a lookup that Spark may broadcast needs no exchange of tokens.  Against a larger
+vocabulary, rows are packed into blocks (``operators.blocks``): only the distinct
+tokens of each block are joined with it, so hot tokens and long texts are not moved.
 Every array operation after that is a higher-order function.
 """
 
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from paracorpus.fixtures import word_count, word_tokens
 from paracorpus.functions.rand import hash52
+from paracorpus.operators import blocks
 from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.operators.rowid import with_row_pos
-from paracorpus.session import written
 
 # Special ids of our vocabulary.
 PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
@@ -43,12 +44,11 @@ def build_vocab(texts: DataFrame, text_col: str) -> DataFrame:
 
     Ranking uses the distributed dense position; the corpus is tokenized once.
     """
-    toks = texts.select(F.explode(word_tokens(F.col(text_col))).alias("token"))
-    freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    freq = blocks.word_counts(texts, text_col).groupBy("token").agg(F.sum("n").alias("freq"))
     keyed = freq.withColumn("__f", -F.col("freq")).withColumn("__h", hash52(F.col("token")))
-    ranked = with_row_pos(keyed, ["__f", "__h", "token"], "__pos")
-    # looked up several times (encode, decode): written once, of known size
-    return written(ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq"), "vocab")
+    # positions are written once: the vocabulary is looked up several times (encode, decode), of known size
+    ranked = with_row_pos(keyed, ["__f", "__h", "token"], "__pos", only_order=["__f", "__h"])
+    return ranked.select("token", (F.col("__pos") + F.lit(FIRST_WORD_ID)).alias("id"), "freq")
 
 
 def encode_sides(
@@ -63,16 +63,41 @@ def encode_sides(
     Returns ``key`` plus one ``<name>_ids`` array per side:
     ``[lang tag] + first (max_len - 2) word ids + [eos]`` (unknown word -> unk;
     ``max_len`` None: all words).  ``key`` must be unique.  The rows are read
-    once and partitioned by key before their tokens are exploded; tags and eos
-    are added to the regrouped arrays.
+    once; tags and eos are added to the regrouped arrays.
     """
+    vocab = vocab.select("token", "id")
+    if blocks.broadcasts(vocab):
+        return _encode_exploded(df, key, sides, vocab, max_len)
+    tags, names = lang_tag_ids(), list(sides)
+    keep = None if max_len is None else max(max_len - N_SPECIAL, 0)
+    tag = [f"__g{i}" for i in range(len(names))]
+    rows = df.select(
+        F.col(key).alias("__key"),
+        *[_tag(tags, code).alias(g) for g, (_, code) in zip(tag, sides.values(), strict=True)],
+        *[txt.alias(f"__x{i}") for i, (txt, _) in enumerate(sides.values())],
+    )
+    packed = blocks.pack_texts(rows, [f"__x{i}" for i in range(len(names))], keep)
+    ids = blocks.look_up_ids(packed, vocab, UNK_ID)
+    with_specials = [F.concat(F.array(F.col(g)), F.col(f"__x{i}"), F.array(F.lit(EOS_ID))).alias(f"{n}_ids") for i, (g, n) in enumerate(zip(tag, names, strict=True))]
+    out = ids.select(F.col("__key").alias(key), *with_specials)
+    return blocks.except_repeated(packed, out, key, df, lambda rest: _encode_exploded(rest, key, sides, vocab, max_len))
+
+
+def _tag(tags: Column, code: Column) -> Column:
+    return F.coalesce(F.element_at(tags, code), F.lit(UNK_ID)).cast("int")
+
+
+def _encode_exploded(df: DataFrame, key: str, sides: dict[str, tuple[Column, Column]], vocab: DataFrame, max_len: int | None) -> DataFrame:
+    """``encode_sides`` by one row for each token, for a vocabulary that is broadcast.
+
+    The rows are partitioned by key before their tokens are exploded."""
     tags = lang_tag_ids()
     names = list(sides)
     keep = None if max_len is None else max(max_len - N_SPECIAL, 0)
     rows = df.select(
         F.col(key).alias("__key"),
         *[txt.alias(f"__x{i}") for i, (txt, _) in enumerate(sides.values())],
-        *[F.coalesce(F.element_at(tags, code), F.lit(UNK_ID)).cast("int").alias(f"__g{i}") for i, (_, code) in enumerate(sides.values())],
+        *[_tag(tags, code).alias(f"__g{i}") for i, (_, code) in enumerate(sides.values())],
     ).repartition("__key")
     rows = rows.select("*", *[word_tokens(F.col(f"__x{i}"), keep).alias(f"__t{i}") for i in range(len(names))])
 
@@ -83,7 +108,7 @@ def encode_sides(
     stream = F.concat(*[F.coalesce(F.transform(f"__t{i}", of_side(i)), empty) for i in range(len(names))])
     tagged = [f"__g{i}" for i in range(len(names))]
     words = rows.select("__key", *tagged, F.explode_outer(stream).alias("w")).select("__key", *tagged, "w.side", "w.pos", "w.token")
-    found = words.join(vocab.select("token", "id"), "token", "left")
+    found = words.join(vocab, "token", "left")
     entry = F.when(F.col("side").isNotNull(), F.struct("side", "pos", F.coalesce("id", F.lit(UNK_ID)).cast("int").alias("id")))
     g = found.groupBy("__key").agg(F.sort_array(F.collect_list(entry)).alias("__all"), *[F.first(t).alias(t) for t in tagged])
 
@@ -150,10 +175,20 @@ def argmax(c: Column) -> Column:
 def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out: str = "text") -> DataFrame:
     """``batch_decode(skip_special_tokens=True)``: ids -> words joined by ' '.
 
-    Special ids are dropped from the array before it is exploded, unknown ids
-    after the lookup; a row without words decodes to ''.  ``key`` must be unique.
+    Special and unknown ids are dropped; a row without words decodes to ''.
+    ``key`` must be unique.
     """
-    voc = vocab.select(F.col("id").cast("int").alias("col"), F.col("token"))
+    vocab = vocab.select(F.col("id").cast("int").alias("id"), "token")
+    if blocks.broadcasts(vocab):
+        return _decode_exploded(df, key, ids_col, vocab, out)
+    packed = blocks.pack_ids(df.select(F.col(key).alias("__key"), F.col(ids_col).cast("array<int>").alias("__i")), "__i", FIRST_WORD_ID)
+    texts = blocks.look_up_tokens(packed, vocab, "__i").select(F.col("__key").alias(key), F.col("__i").alias(out))
+    return blocks.except_repeated(packed, texts, key, df, lambda rest: _decode_exploded(rest, key, ids_col, vocab, out))
+
+
+def _decode_exploded(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out: str) -> DataFrame:
+    """``decode_ids`` by one row for each id, for a vocabulary that is broadcast."""
+    voc = vocab.select(F.col("id").alias("col"), "token")
     rows = df.select(F.col(key).alias("__key"), F.col(ids_col).alias("__i")).repartition("__key")
     kept = rows.select("__key", F.posexplode_outer(F.filter("__i", lambda x: x >= FIRST_WORD_ID)))
     toks = kept.join(voc, "col", "left")

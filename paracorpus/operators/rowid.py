@@ -35,11 +35,13 @@ def with_row_pos(
     pos_col: str = "row_pos",
     partition_cols: str | Sequence[str] | None = None,
     ranges: int | None = None,
+    only_order: Sequence[str] = (),
 ) -> DataFrame:
     """Add a dense 0-based position by ``order_cols`` (ascending, null first),
     restarting per ``partition_cols`` (null is a group).  Ties must be broken by
     the order columns themselves (pass a unique key last).  ``ranges`` is the
     number of range partitions, by default the session's shuffle partitions.
+    Columns in ``only_order`` serve the order alone: they are neither written nor returned.
     Pass narrow rows and join the wide ones by key where texts are large."""
     spark = df.sparkSession
     parts = _as_list(partition_cols)
@@ -47,7 +49,7 @@ def with_row_pos(
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid, rng = "__pc_mid", "__pc_range"
     placed = written(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(mid, F.monotonically_increasing_id()), "rowpos"
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(mid, F.monotonically_increasing_id()).drop(*only_order), "rowpos"
     ).withColumn(rng, F.shiftright(mid, 33).cast("int"))
     sizes = {r[rng]: r["count"] for r in placed.groupBy(rng).count().collect()}  # one row per range
     offsets, total = [], 0

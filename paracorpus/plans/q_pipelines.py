@@ -8,7 +8,7 @@ from paracorpus import fixtures as fx
 from paracorpus.fixtures import BAD_SOURCES, with_ctes
 from paracorpus.functions.rand import hash52_sql, uniform_sql
 from paracorpus.functions.translit import transliterate_sql
-from paracorpus.operators import encode
+from paracorpus.operators import encode, filters
 from paracorpus.operators.encode import EOS_ID, FIRST_WORD_ID, LANG_TAG_BASE, PAD_ID, UNK_ID
 from paracorpus.operators.langs import LANG_CODES_TRAIN
 from paracorpus.plans import pipelines as pl
@@ -267,7 +267,7 @@ def q_pipeline_bench(spark, sf):
 
 
 def _v1_vocab(spark, sf):
-    p = fx.pairs(spark, sf).na.drop(subset=["english", "darija_ar"])
+    p = filters.dropna_subset(fx.pairs(spark, sf), ["english", "darija_ar"])
     return encode.build_vocab(p.select(F.col("english").alias("t")).unionByName(p.select(F.col("darija_ar").alias("t"))), "t")
 
 

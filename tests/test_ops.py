@@ -1,7 +1,11 @@
 """Operator micro fixtures (FIXTURES.md section 3) and properties."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
+from paracorpus import fixtures as fx
 from paracorpus.operators import columns, encode, filters, merge, rowid, sample, stats
 
 
@@ -281,3 +285,51 @@ def test_stage_schemas_are_checked(spark):
     assert schemas.checked(good, schemas.SAMPLE, "s") is good
     with pytest.raises(ValueError, match="s: ary_tokens: bigint, draw_rank: missing"):
         schemas.checked(good.withColumn("ary_tokens", F.lit(1).cast("long")).drop("draw_rank"), schemas.SAMPLE, "s")
+
+
+@pytest.fixture()
+def large_vocab(spark):
+    """Every vocabulary counts as too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_blocks_equal_one_row_per_token(spark, large_vocab, monkeypatch):
+    monkeypatch.setattr(encode.blocks, "SLICE_ROWS", 3)
+    monkeypatch.setattr(encode.blocks, "BLOCK_WORDS", 20)
+    texts = ["a b  c a \x1fd", "", None, "   ", "ت تت a", "x " * 9, "unseen words here a"]
+    rows = [(None if i == 40 else str(i), texts[i % 7], texts[i % 5], "eng_Latn" if i % 2 else "none") for i in range(60)]
+    rows += [("3", "q a", "b", "eng_Latn"), (None, "b a", None, "eng_Latn"), ("9", "a", "a", "ary_Arab"), ("9", "c", "c", "ary_Arab")]
+    df = spark.createDataFrame(rows, "k string, s string, t string, code string").repartition(3, "k")
+    vocab = encode.build_vocab(df.select("s").filter("s not like 'unseen%'"), "s")
+    got = {r.token: r.freq for r in vocab.collect()}
+    assert got == Counter(w for r in rows if r[1] and not r[1].startswith("unseen") for w in r[1].split())
+    order = sorted(vocab.collect(), key=lambda r: r.id)
+    assert [r.id for r in order] == list(range(100, 100 + len(got))) and all(a.freq >= b.freq for a, b in zip(order, order[1:], strict=False))
+    for keep in (None, 2, 4, 7):
+        sides = {"s": (F.col("s"), F.lit("eng_Latn")), "t": (F.col("t"), F.lit("ary_Arab"))}
+        enc = encode.encode_sides(df, "k", sides, vocab, keep)
+        plain = encode._encode_exploded(df, "k", sides, vocab.select("token", "id"), keep)
+        as_rows = lambda d: sorted(((r[0] or "", *map(tuple, r[1:])) for r in d.collect()))
+        assert as_rows(enc) == as_rows(plain)
+        dec = encode.decode_ids(enc, "k", "s_ids", vocab)
+        assert sorted(map(str, dec.collect())) == sorted(map(str, encode._decode_exploded(enc, "k", "s_ids", vocab.select(F.col("id").cast("int").alias("id"), "token"), "text").collect()))
+
+
+def test_a_large_vocabulary_meets_distinct_words_only(spark, large_vocab):
+    df = spark.range(2000).select(F.col("id").alias("row_id"), F.repeat(F.lit("the cat sat "), 20).alias("s"))
+    vocab = encode.build_vocab(df, "s")
+    enc = encode.encode_sides(df, "row_id", {"x": (F.col("s"), F.lit("eng_Latn"))}, vocab, None)
+    text = enc._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in text.splitlines() if "Exchange" in x]
+    assert moved and not any("side" in x or "pos" in x for x in moved), text
+    packed = encode.blocks.pack_texts(df.withColumnRenamed("row_id", "__key"), ["s"], None)
+    assert packed.agg(F.sum(F.size("words"))).first()[0] <= 3 * packed.count()
+
+
+def test_a_null_test_computes_no_text(spark, sf001):
+    p = filters.dropna_subset(fx.pairs(spark, sf001), ["english", "darija_ar"]).select("english")
+    assert "translate" not in p._jdf.queryExecution().optimizedPlan().toString()
+    d = spark.createDataFrame([(1, 1.0), (None, 2.0), (3, float("nan")), (4, None)], "a int, b double")
+    assert [r.a for r in filters.dropna_subset(d, ["a", "b"]).collect()] == [1]
